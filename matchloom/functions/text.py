@@ -54,7 +54,10 @@ def strip_accents(c: Column | str, hyphens: bool = False) -> Column:
         kept = [(s, t) for s, t in zip(source, target) if s not in _HYPHENS]
         source = "".join(s for s, _ in kept) + _HYPHENS
         target = "".join(t for _, t in kept) + "-" * len(_HYPHENS)
-    return F.regexp_replace(F.translate(_col(c), source, target), r"[^\x00-\x7F]", "")
+    text = _col(c)
+    is_ascii = F.octet_length(text) == F.length(text)
+    plain = F.regexp_replace(F.translate(text, source, target), r"[^\x00-\x7F]+", "")
+    return F.when(is_ascii, text).otherwise(plain)
 
 
 @F.pandas_udf(T.StringType())
@@ -66,7 +69,7 @@ def strip_accents_exact(texts: pd.Series) -> pd.Series:
 
 def normalize_text(c: Column | str, hyphens: bool = False) -> Column:
     """Comparison form of a name: no accents, lower case, "-" as space, single spaces; null gives ""."""
-    plain = F.translate(F.lower(strip_accents(c, hyphens)), "-", " ")
+    plain = F.replace(F.lower(strip_accents(c, hyphens)), F.lit("-"), F.lit(" "))
     single = F.regexp_replace(plain, r"[\s\x1c-\x1f]+", " ")
     return F.coalesce(F.trim(single), F.lit(""))
 

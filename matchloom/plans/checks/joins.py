@@ -13,17 +13,19 @@ from matchloom.plans.checks import check, table
 from matchloom.plans.checks.rows import alias_table, customers_with_nation
 
 
-def order_lines(spark, sf):
-    """Distinct (order, supplier) with both parties' nations, names and balances."""
+def order_lines(spark, sf, name=F.col):
+    """Distinct (order, supplier) with both parties' nations, names and balances; `name` turns names into another form."""
     lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey").distinct()
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     rows = lines.join(orders, "o_orderkey")
+    customers = table(spark, sf, "customer").withColumn("c_name", name("c_name"))
+    suppliers = table(spark, sf, "supplier").withColumn("s_name", name("s_name"))
     rows = J.lookup_join(
-        rows, table(spark, sf, "customer"), {"o_custkey": "c_custkey"},
+        rows, customers, {"o_custkey": "c_custkey"},
         {"c_name": "customer", "c_nationkey": "home_nation_id", "c_acctbal": "home_acctbal"},
     )
     return J.lookup_join(
-        rows, table(spark, sf, "supplier"), {"l_suppkey": "s_suppkey"},
+        rows, suppliers, {"l_suppkey": "s_suppkey"},
         {"s_name": "supplier", "s_nationkey": "away_nation_id", "s_acctbal": "away_acctbal"},
     )
 

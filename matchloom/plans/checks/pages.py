@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from matchloom.functions import web as B
 from matchloom.operators.columns import last_level
+from matchloom.operators.links import match_details
 from matchloom.plans.checks import check, table
 from matchloom.plans.jobs import keeper_stats
 from matchloom.sources import pages as P
@@ -197,24 +198,31 @@ def table_by_id(spark, sf):
     SELECT '/orders/' || o_orderkey AS url,
            CASE WHEN o_orderstatus = 'F' THEN 'Customer ' || o_custkey END AS home_team,
            CASE WHEN o_orderstatus = 'F' THEN 'Priority ' || o_orderpriority END AS away_team,
-           CASE WHEN o_orderstatus = 'F' THEN '2 1' END AS score,
+           CASE WHEN o_orderstatus = 'F' THEN month(o_orderdate) || ' 0.5' END AS score,
            CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%d') END AS date
     FROM orders
     """,
 )
-def match_details(spark, sf):
+def details_of_matches(spark, sf):
     """One page per order: status F with a full score box, O without a score, P without a box."""
     lit, col = F.lit, F.col
-    team = lambda label, value: F.concat(
-        lit('<div><div class="team"><strong><a href="/t">'), lit(label), value, lit('</a></strong></div><div class="scores">'),
-    )
-    goals = lambda n: F.when(col("o_orderstatus") == "F", f'<div class="score">{n}</div></div></div>').otherwise("</div></div>")
+
+    def team(label, value, goals):
+        score = F.concat(
+            lit('<div class="scores"><div class="score">'), goals.cast("string"), lit("</div> <div>0.5</div></div>")
+        )
+        return F.concat(
+            lit('<div class="team"><strong><a href="/t">'), lit(label), value, lit("</a></strong>"),
+            F.when(col("o_orderstatus") == "F", score).otherwise(""), lit("</div>"),
+        )
+
     box = F.concat(
-        lit('<div class="scorebox">'),
-        team("Customer ", col("o_custkey").cast("string")), goals(2), team("Priority ", col("o_orderpriority")), goals(1),
+        lit('<div id="top" class="scorebox">'),
+        team("Customer ", col("o_custkey").cast("string"), F.month("o_orderdate")),
+        team("Priority ", col("o_orderpriority"), F.dayofmonth("o_orderdate")),
         lit('<div class="scorebox_meta"><div><b>'), F.date_format("o_orderdate", "yyyy-MM-dd"),
         lit("</b></div><div>Venue</div></div></div>"),
     )
     html = F.concat(lit("<body>"), F.when(col("o_orderstatus") != "P", box).otherwise("<br>"), lit("</body>"))
     url = F.concat(lit("/orders/"), col("o_orderkey").cast("string"))
-    return P.match_details(table(spark, sf, "orders").select(url.alias("url"), html.alias("html")))
+    return match_details(table(spark, sf, "orders").select(url.alias("url"), html.alias("html")))

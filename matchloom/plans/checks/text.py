@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from matchloom.functions import dates as D
 from matchloom.functions import ids as I
 from matchloom.functions import text as X
-from matchloom.functions import web as B
+from matchloom.operators.links import link_names, link_parts
 from matchloom.plans.checks import check, table
 from matchloom.plans.checks.joins import LINES, order_lines
 
@@ -52,12 +52,14 @@ def game_key(spark, sf):
     """,
 )
 def match_id48(spark, sf):
-    """Orders with status P carry no ISO date and so get no id."""
+    """Orders with status P carry no ISO date and so get no id. Names are brought to their comparison form
+    in the catalogues, once per name instead of once per line."""
     date = F.when(F.col("o_orderstatus") == "P", F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(
         F.date_format("o_orderdate", "yyyy-MM-dd")
     )
-    return order_lines(spark, sf).select(
-        "o_orderkey", "l_suppkey", I.match_id("customer", "supplier", date).alias("match_id")
+    lines = order_lines(spark, sf, name=X.normalize_text)
+    return lines.select(
+        "o_orderkey", "l_suppkey", I.match_id_of(F.col("customer"), F.col("supplier"), date).alias("match_id")
     )
 
 
@@ -96,12 +98,11 @@ def slug_parse(spark, sf):
         F.coalesce(prefix, F.lit("")), F.lit("Customer-"), F.col("o_custkey").cast("string"), F.lit("-Status-"),
         F.col("o_orderstatus"), F.date_format("o_orderdate", "-MMMM-d-yyyy"), F.lit("-La-Liga"),
     )
-    return table(spark, sf, "orders").select("o_orderkey", url.alias("url")).select(
-        "o_orderkey",
-        D.month_in_slug("url").alias("month_txt"),
-        B.slug_match_date("url").alias("match_date"),
-        B.slug_teams("url").alias("teams"),
-        B.slug_teams_before_month("url").alias("teams_before_month"),
+    links = link_parts(table(spark, sf, "orders").select("o_orderkey", url.alias("url")), "url")
+    named = links.withColumnsRenamed({"link_teams": "teams", "link_date": "match_date"})
+    return link_names(named, "url").select(
+        "o_orderkey", "match_date", "teams", F.col("link_month").alias("month_txt"),
+        F.col("link_teams").alias("teams_before_month"),
     )
 
 

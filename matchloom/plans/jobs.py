@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.functions.dates import month_in_slug, month_name
+from matchloom.functions.dates import month_name
 from matchloom.functions.fixed_values import (
     KEEPER_ADVANCED_TABLE_PATTERN,
     KEEPER_TABLE_PATTERN,
@@ -18,7 +18,7 @@ from matchloom.functions.fixed_values import (
 )
 from matchloom.functions.ids import match_id, match_id_of, player_id
 from matchloom.functions.text import is_percent, normalize_text, percent_int, score_pair, stat_pair
-from matchloom.functions.web import slug_match_date, slug_teams, slug_teams_before_month
+from matchloom.functions.web import table_id_part
 from matchloom.operators.columns import (
     drop_by_suffix,
     drop_columns,
@@ -37,12 +37,13 @@ from matchloom.operators.filters import (
     keep_iso_dates,
     keep_keyed,
 )
-from matchloom.operators.joins import lookup_join, merge_same_grain, role_join
+from matchloom.operators.joins import lookup_join, role_join
+from matchloom.operators.links import link_names, link_parts
 from matchloom.operators.quality import name_dictionary
 from matchloom.operators.reshape import set_union, team_match_rows
 from matchloom.operators.series import Series, next_row, number_bucket, segment_records
 from matchloom.operators.splits import two_name_split
-from matchloom.sources.pages import player_rows, table_columns, tables_by_pattern
+from matchloom.sources.pages import cell, player_rows
 
 _ROWS_PER_BUCKET = 100_000
 
@@ -106,14 +107,15 @@ def with_match_teams(records: DataFrame, fixtures: DataFrame) -> DataFrame:
     """Match records with the fixture names of both teams (null when a link names no known pair) and the month."""
     known = name_dictionary(set_union([fixtures, fixtures], ["Home", "Away"], "team"), "team")
     known = known.withColumn("slug_name", F.translate("norm_name", " ", "-"))
-    slug = F.translate(normalize_text(slug_teams_before_month("match_url")), " ", "-")
-    split = two_name_split(records.withColumn("slug", slug), "slug", known, "slug_name", fallback=False)
+    slug = F.translate(normalize_text("link_teams"), " ", "-")
+    links = link_names(records, "match_url").withColumn("slug", slug)
+    split = two_name_split(links, "slug", known, "slug_name", fallback=False)
     both = F.col("score") == 2
     split = split.withColumns({c: F.when(both, F.col(c)) for c in ("left_name", "right_name")})
     named = role_join(
         split, known, "slug_name", {"left_name": {"name": "home_team"}, "right_name": {"name": "away_team"}}
     )
-    return named.withColumn("month_txt", month_in_slug("match_url")).drop("slug", "score", "left_name", "right_name")
+    return named.withColumnRenamed("link_month", "month_txt").drop("link_teams", "slug", "score", "left_name", "right_name")
 
 
 _MEASURES = (
@@ -185,10 +187,10 @@ def players_with_match_id(raw: DataFrame, known_teams: DataFrame, name: str = "e
     rows = drop_summary_rows(raw, player) if player else raw
     slug_name = F.translate(normalize_text(name), " ", "-")
     known = known_teams.select(slug_name.alias("slug_name"))
-    teams = F.translate(normalize_text(slug_teams("match_url")), " ", "-")
-    split = two_name_split(rows.withColumn("_teams", teams), "_teams", known, "slug_name")
-    return split.withColumn("id", match_id("left_name", "right_name", slug_match_date("match_url"))).drop(
-        "_teams", "score", "left_name", "right_name"
+    links = link_parts(rows, "match_url").withColumn("_teams", F.translate(normalize_text("link_teams"), " ", "-"))
+    split = two_name_split(links, "_teams", known, "slug_name")
+    return split.withColumn("id", match_id("left_name", "right_name", "link_date")).drop(
+        "_teams", "link_teams", "link_date", "score", "left_name", "right_name"
     )
 
 
@@ -210,13 +212,28 @@ def player_match_stats(raw: DataFrame, players: DataFrame, known_teams: DataFram
 
 
 def keeper_stats(tables: DataFrame, basic: Sequence[str], advanced: Sequence[str]) -> DataFrame:
-    """Goalkeepers of each match: basic statistics with the advanced ones beside them (`adv_`)."""
+    """Goalkeepers of each match: basic statistics with the advanced ones beside them (`adv_`).
 
-    def side(pattern: str, names: Sequence[str]) -> DataFrame:
-        rows = player_rows(tables_by_pattern(tables, pattern, "team"))
-        return table_columns(rows.withColumnRenamed("url", "match_url"), ["Player", *names], ["team", "match_url"])
-
-    keys = ["Player", "team", "match_url"]
-    return merge_same_grain(
-        side(KEEPER_TABLE_PATTERN, basic), side(KEEPER_ADVANCED_TABLE_PATTERN, advanced), keys, "adv_"
+    Both come from the same pages, so they are brought together by one grouping instead of a
+    join that would parse the pages twice. A keeper named twice in one table counts once.
+    """
+    team = F.coalesce(
+        table_id_part("table_id", KEEPER_TABLE_PATTERN), table_id_part("table_id", KEEPER_ADVANCED_TABLE_PATTERN)
+    )
+    is_basic = F.col("table_id").rlike(KEEPER_TABLE_PATTERN)
+    place = F.struct("table_no", "row_no")
+
+    def first(name: str, condition: Column) -> Column:
+        return F.min_by(cell(name), F.when(condition, place))
+
+    rows = player_rows(tables).select("*", team.alias("team"), cell("Player").alias("Player")).filter("team is not null")
+    return (
+        rows.groupBy("Player", "team", F.col("url").alias("match_url"))
+        .agg(
+            F.max(is_basic).alias("_has_basic"),
+            *[first(n, is_basic).alias(n) for n in basic],
+            *[first(n, ~is_basic).alias(f"adv_{n}") for n in advanced],
+        )
+        .filter("_has_basic")
+        .drop("_has_basic")
     )
