@@ -10,8 +10,13 @@ from matchloom.operators.reshape import series_to_columns
 from matchloom.operators.filters import top_rows
 from matchloom.plans.checks import check, table
 
-BY_USER = W.Series(["user_id"], ["ts"], [W.time_bucket("ts", "day")])
-BY_TYPE = W.Series(["event_type"], ["ts", "event_id"], [W.time_bucket("ts", "hour")])
+
+def by_user():
+    return W.Series(["user_id"], ["ts"], [W.time_bucket("ts", "day")])
+
+
+def by_type():
+    return W.Series(["event_type"], ["ts", "event_id"], [W.time_bucket("ts", "hour")])
 
 
 @check(
@@ -27,9 +32,9 @@ BY_TYPE = W.Series(["event_type"], ["ts", "event_id"], [W.time_bucket("ts", "hou
 )
 def rolling_mean(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", "value")
-    by_user = W.rolling_mean(events, BY_USER, "value", 10, "mean_user")
-    by_type = W.rolling_mean(by_user, BY_TYPE, "value", 100, "mean_type")
-    return by_type.select("event_id", F.round("mean_user", 6).alias("mean_user"), F.round("mean_type", 6).alias("mean_type"))
+    means = W.rolling_mean(events, by_user(), "value", 10, "mean_user")
+    means = W.rolling_mean(means, by_type(), "value", 100, "mean_type")
+    return means.select("event_id", F.round("mean_user", 6).alias("mean_user"), F.round("mean_type", 6).alias("mean_type"))
 
 
 @check(
@@ -43,7 +48,7 @@ def rolling_mean(spark, sf):
 def forward_fill(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", "value")
     purchase = F.when(F.col("event_type") == "purchase", F.col("value"))
-    return W.fill_forward(events, BY_USER, {"last_purchase": purchase}).select("event_id", "last_purchase")
+    return W.fill_forward(events, by_user(), {"last_purchase": purchase}).select("event_id", "last_purchase")
 
 
 @check(
@@ -87,7 +92,7 @@ def label_value(spark, sf):
 
 def _records(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", "value")
-    return W.segment_records(events, BY_USER, F.col("event_type") == "signup", "record")
+    return W.segment_records(events, by_user(), F.col("event_type") == "signup", "record")
 
 
 _RECORDS = """
@@ -130,7 +135,7 @@ def segment_fold(spark, sf):
 
 def purchase_intervals(spark, sf):
     purchases = table(spark, sf, "events").filter("event_type = 'purchase'").select("user_id", "ts", "value")
-    return V.validity_intervals(purchases, BY_USER, "ts").select("user_id", "from", "to", F.col("value").alias("rating"))
+    return V.validity_intervals(purchases, by_user(), "ts").select("user_id", "from", "to", F.col("value").alias("rating"))
 
 
 _INTERVALS = """

@@ -1,0 +1,88 @@
+import pytest
+from pyspark.sql import functions as F
+
+from matchloom.operators import results as S
+from matchloom.operators import reshape as P
+
+GAMES = [
+    ("s1", "A", "B", "H"), ("s1", "B", "A", "D"), ("s1", "A", "C", "A"), ("s1", "C", "B", None), ("s1", None, "B", "A"),
+    ("s2", "A", "B", "H"),
+]
+
+
+@pytest.fixture
+def games(spark):
+    return spark.createDataFrame(GAMES, "season string, home_team string, away_team string, FTR string")
+
+
+def test_home_away_results(games):
+    found = {(r.team, r.is_home): r for r in S.home_away_results(games, "FTR").collect()}
+    assert (None, "Home") not in found and len(found) == 6
+    a = found["A", "Home"]
+    assert (a.n_win, a.n_lose, a.n_draw) == (2, 1, 0) and a.win_pct == pytest.approx(2 / 3)
+    c = found["C", "Home"]
+    assert (c.n_win, c.n_lose, c.n_draw, c.win_pct) == (0, 0, 0, 0.0)
+    b = found["B", "Away"]
+    assert (b.n_win, b.n_lose, b.n_draw, b.lose_pct) == (1, 2, 0, 0.5)
+
+
+def test_standings(games):
+    found = [tuple(r) for r in S.standings(games.filter("FTR is not null"), "FTR", ["season"]).filter("season = 's1'").orderBy("place").collect()]
+    # season, team, played, won, drawn, lost, points, place
+    assert found == [("s1", "A", 3, 1, 1, 1, 4, 1), ("s1", "B", 3, 1, 1, 1, 4, 2), ("s1", "C", 1, 1, 0, 0, 3, 3)]
+
+
+WIDE = "id string, home_team_id string, away_team_id string, " + ", ".join(f"{c} string" for c in P.WIDE_MATCH_COLUMNS[3:])
+
+
+@pytest.fixture
+def wide(spark):
+    return spark.createDataFrame(
+        [
+            ("123.0", "T1", "T2", "44", "57", "2.9", "7", "x", "", None, "1", "0", "0"),
+            ("124", " ", "T2", *["1"] * 10),
+            ("125", None, None, *["1"] * 10),
+        ],
+        WIDE,
+    )
+
+
+def test_team_match_rows(wide, rows):
+    found = P.team_match_rows(wide)
+    assert rows(found) == [
+        ("123", "T1", "HOME", 44, 2, 7, None, 0),
+        ("123", "T2", "AWAY", 57, None, None, 1, 0),
+        ("124", "T2", "AWAY", 1, 1, 1, 1, 1),
+    ]
+    with pytest.raises(ValueError, match="missing columns: saves_home"):
+        P.team_match_rows(wide.drop("saves_home"))
+
+
+def test_split_sides_can_be_put_together_again(wide):
+    sides = P.team_match_rows(wide.filter("id = '123.0'"))
+    back = sides.groupBy("match_id").pivot("side", ["HOME", "AWAY"]).agg(F.first("team_id").alias("team"), F.first("possession").alias("poss"))
+    assert tuple(back.first()) == ("123", "T1", 44, "T2", 57)
+
+
+def test_sides_come_from_one_scan(spark, wide, tmp_path):
+    wide.write.parquet(str(tmp_path / "w"))
+    rows = P.team_match_rows(spark.read.parquet(str(tmp_path / "w")))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+def test_series_to_columns(spark, rows):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0), (2, "b", 3.0), (2, "c", 9.0)], "d int, t string, v double")
+    assert rows(P.series_to_columns(df, "d", "t", F.first("v"), ["a", "b"])) == [(1, 1.0, 2.0), (2, None, 3.0)]
+
+
+def test_expand_groups(spark, rows):
+    df = spark.createDataFrame([("Big", 1), ("Own", 2)], "league string, n int")
+    parts = spark.createDataFrame([("Big", "x"), ("Big", "y")], "league string, part string")
+    assert P.expand_groups(df, parts, "league", split=False) is df
+    assert rows(P.expand_groups(df, parts, "league", split=True), "part", "n") == [("Own", 2), ("x", 1), ("y", 1)]
+
+
+def test_set_union(spark, rows):
+    df = spark.createDataFrame([("A", "B"), ("B", "C")], "h string, a string")
+    assert rows(P.set_union([df, df], ["h", "a"], "team")) == [("A",), ("B",), ("C",)]
