@@ -13,8 +13,10 @@ from matchloom.functions.text import safe_text
 
 
 def drop_any_null(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Drop rows with a null in any of the columns."""
-    return df.dropna("any", subset=list(names))
+    """Drop rows with a null in any of the columns; one condition per column, so that scans can use them."""
+    for name in names:
+        df = df.filter(F.col(name).isNotNull())
+    return df
 
 
 def drop_all_null(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.operators.filters import drop_any_null
+
 
 def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The frame with one row per key; a key that occurs twice stops the job."""
@@ -77,7 +79,7 @@ def map_lookup(c: Column | str, values: Mapping[str, object]) -> Column:
 
 def unmatched_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys of the left frame that the right one lacks. Both sides are reduced to keys first."""
-    left_keys = left.select(*keys).dropna("any").distinct()
+    left_keys = drop_any_null(left.select(*keys), keys).distinct()
     return left_keys.join(right.select(*keys).distinct(), list(keys), "left_anti")
 
 

@@ -143,7 +143,7 @@ def customer_pages(spark, sf):
         comment(keepers("keeper", col("c_custkey").cast("string"))), advanced, lit("</body></html>"),
     )
     url = F.concat(lit("/customers/"), col("c_custkey").cast("string"))
-    return table(spark, sf, "customer").select(url.alias("url"), html.alias("html"))
+    return P.spread(table(spark, sf, "customer")).select(url.alias("url"), html.alias("html"))
 
 
 @check(

@@ -9,6 +9,7 @@ from matchloom.operators import series as W
 from matchloom.operators.reshape import series_to_columns
 from matchloom.operators.filters import top_rows
 from matchloom.plans.checks import check, table
+from matchloom.session import store
 
 
 def by_user():
@@ -33,7 +34,7 @@ def by_type():
 def rolling_mean(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", "value")
     means = W.rolling_mean(events, by_user(), "value", 10, "mean_user")
-    means = W.rolling_mean(means, by_type(), "value", 100, "mean_type")
+    means = W.rolling_mean(means, by_type(), "value", 100, "mean_type", source=events)
     return means.select("event_id", F.round("mean_user", 6).alias("mean_user"), F.round("mean_type", 6).alias("mean_type"))
 
 
@@ -65,12 +66,13 @@ def fill_down_keys(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey").withColumn("block", F.floor(F.col("o_custkey") / 100))
     ranges = [F.col("o_custkey"), W.number_bucket("o_orderkey", 1_000_000)]
     numbered = W.row_numbers(orders, W.Series(["block"], ["o_custkey", "o_orderkey"], ranges), "row_no")
-    firsts = numbered.groupBy("o_custkey").agg(F.min("row_no").alias("first_row"))
+    firsts = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("first_order"))
+    is_first = F.col("o_orderkey") == F.col("first_order")
     printed = numbered.join(firsts, "o_custkey").select(
-        "block", "row_no", "o_orderkey", F.when(F.col("row_no") == F.col("first_row"), F.col("o_custkey")).alias("printed_key")
+        "block", "row_no", "o_orderkey", F.when(is_first, F.col("o_custkey")).alias("printed_key")
     )
     rows = W.Series(["block"], ["row_no"], [W.number_bucket("row_no", 100_000)])
-    restored = W.fill_forward(printed, rows, {"restored_key": F.col("printed_key")})
+    restored = W.fill_forward(store(printed, "printed"), rows, {"restored_key": F.col("printed_key")})
     return restored.select("o_orderkey", "printed_key", "restored_key")
 
 
@@ -169,7 +171,7 @@ def ratings_at_date(spark, sf):
 )
 def interval_join(spark, sf):
     errors = table(spark, sf, "events").filter("event_type = 'error'").select("event_id", "user_id", "ts")
-    spans = purchase_intervals(spark, sf)
+    spans = store(purchase_intervals(spark, sf), "intervals")
     return V.interval_join(errors, spans, "user_id", "ts", [W.time_bucket("_time", "day")], ["rating"])
 
 

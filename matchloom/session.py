@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the library is written for. They only confirm how joins and shuffles
 #: should be planned; results do not depend on them (except the time zone).
@@ -42,3 +42,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/matchloom/{purpose}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back from there.
+
+    For results that a later plan uses several times: they are computed once, and a lost
+    executor costs no more than the files it was reading.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,17 +13,19 @@ from matchloom.operators.filters import first_seen
 from matchloom.sources.tables import append_aligned, read_or_empty
 
 
-def new_rows(candidates: DataFrame, existing: DataFrame, key: str, prune_by: Sequence[str] = ()) -> DataFrame:
+def new_rows(candidates: DataFrame, existing: DataFrame, key: str, prune_by: str | None = None) -> DataFrame:
     """Candidates whose key is not there yet.
 
-    `prune_by` names partition columns of the existing table that the key determines (such as
-    the date of a match): only the partitions that the candidates touch are then read.
+    The existing table is reduced to the candidates' keys first: a few candidates are sent to
+    the large table, which then needs no shuffle. `prune_by` names a partition column of the
+    table that the key determines (such as the date of a match): only partitions between the
+    candidates' first and last value are read. Finding these two values runs one job.
     """
-    known = existing.select(key, *prune_by)
     if prune_by:
-        touched = candidates.select(*prune_by).distinct()
-        known = known.join(touched, list(prune_by), "left_semi")
-    return candidates.join(known.select(key).distinct(), key, "left_anti")
+        first, last = candidates.agg(F.min(prune_by), F.max(prune_by)).first()
+        existing = existing.filter(F.col(prune_by).isNull() | F.col(prune_by).between(first, last))
+    known = existing.select(key).join(candidates.select(key), key, "left_semi")
+    return candidates.join(known, key, "left_anti")
 
 
 def incremental_append(
@@ -31,13 +34,20 @@ def incremental_append(
     key: str,
     order: Sequence[str],
     schema: T.StructType | None = None,
-    partition_by: Sequence[str] = (),
+    partition_by: str | None = None,
 ) -> None:
-    """Append the first row per new key to a Parquet table; a second run adds nothing."""
+    """Append the first row per new key to a Parquet table; a second run adds nothing.
+
+    `partition_by` must be determined by the key, see `new_rows`.
+    """
     schema = schema or candidates.schema
     existing = read_or_empty(candidates.sparkSession, path, schema)
-    fresh = new_rows(first_seen(candidates, [key], order), existing, key, partition_by)
-    append_aligned(fresh, path, schema, partition_by)
+    firsts = first_seen(candidates, [key], order).persist()
+    try:
+        fresh = new_rows(firsts, existing, key, partition_by)
+        append_aligned(fresh, path, schema, [partition_by] if partition_by else [])
+    finally:
+        firsts.unpersist()
 
 
 def start_incremental(
@@ -46,7 +56,7 @@ def start_incremental(
     checkpoint: str,
     key: str,
     order: Sequence[str],
-    partition_by: Sequence[str] = (),
+    partition_by: str | None = None,
 ) -> StreamingQuery:
     """`incremental_append` for every batch of a file stream, over all files present now.
 

@@ -102,13 +102,22 @@ def test_incremental_append(spark, tmp_path, rows):
 def test_incremental_append_reads_only_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     day = lambda d, ids: spark.createDataFrame([(i, d) for i in ids], "url string, day string")
-    N.incremental_append(day("d1", ["a", "b"]).union(day("d2", ["c"])), path, "url", ["day"], partition_by=["day"])
-    N.incremental_append(day("d2", ["c", "d"]), path, "url", ["day"], partition_by=["day"])
+    N.incremental_append(day("d1", ["a", "b"]).union(day("d2", ["c"])), path, "url", ["day"], partition_by="day")
+    N.incremental_append(day("d2", ["c", "d"]), path, "url", ["day"], partition_by="day")
     assert spark.read.parquet(path).count() == 4
     known = spark.read.schema("url string, day string").parquet(path)
-    fresh = N.new_rows(day("d2", ["d", "e"]), known, "url", ["day"])
+    fresh = N.new_rows(day("d2", ["d", "e"]), known, "url", "day")
     assert [r.url for r in fresh.collect()] == ["e"]
-    assert "dynamicpruning" in fresh._jdf.queryExecution().optimizedPlan().toString().lower() or fresh.count() == 1
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(day" in plan and ">= d2" in plan
+
+
+def test_large_table_is_not_shuffled_for_a_few_candidates(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    spark.range(995, 1005).write.parquet(str(tmp_path / "c"))
+    fresh = N.new_rows(spark.read.parquet(str(tmp_path / "c")), spark.read.parquet(str(tmp_path / "t")), "id")
+    assert fresh.count() == 5
+    assert "hashpartitioning" not in fresh._jdf.queryExecution().executedPlan().toString()
 
 
 def test_stream(spark, tmp_path):
