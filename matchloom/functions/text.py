@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from collections.abc import Sequence
 from functools import lru_cache
@@ -28,14 +27,12 @@ _NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 @lru_cache(maxsize=1)
 def _ascii_letters() -> tuple[str, str]:
     """Non-ASCII characters whose compatibility form holds exactly one ASCII character."""
-    source, target = [], []
-    for code in range(0x80, sys.maxunicode + 1):
-        char = chr(code)
-        plain = unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode("ascii")
-        if len(plain) == 1 and code <= 0xFFFF:
-            source.append(char)
-            target.append(plain)
-    return "".join(source), "".join(target)
+    plain = {
+        char: unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode("ascii")
+        for char in map(chr, range(0x80, 0x20000))
+    }
+    single = {char: text for char, text in plain.items() if len(text) == 1}
+    return "".join(single), "".join(single.values())
 
 
 def _col(c: Column | str) -> Column:

@@ -9,6 +9,7 @@ from matchloom.operators import quality as Q
 from matchloom.operators.aliases import alias_filter
 from matchloom.operators.views import dataset_view
 from matchloom.plans.checks import check, table
+from matchloom.sources.inline import inline_table
 
 
 def urgent_by_customer(spark, sf):
@@ -188,7 +189,7 @@ _ALIASES = [("NATION_2", "NATION_3"), ("NATION_2", "N2"), ("NATION_7", "NATION_8
 
 
 def alias_table(spark):
-    return spark.createDataFrame(_ALIASES, "canonical string, alias string")
+    return inline_table(spark, _ALIASES, "canonical string, alias string")
 
 
 def customers_with_nation(spark, sf):

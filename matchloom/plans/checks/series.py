@@ -10,6 +10,7 @@ from matchloom.operators.reshape import series_to_columns
 from matchloom.operators.filters import top_rows
 from matchloom.plans.checks import check, table
 from matchloom.session import store
+from matchloom.sources.inline import inline_table
 
 
 def by_user():
@@ -182,7 +183,7 @@ def interval_join(spark, sf):
     """,
 )
 def entity_history(spark, sf):
-    aliases = spark.createDataFrame([("view", "click"), ("view", "look & feel")], "canonical string, alias string")
+    aliases = inline_table(spark, [("view", "click"), ("view", "look & feel")], "canonical string, alias string")
     events = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
     return V.entity_history(events, "event_type", "look & feel", aliases)
 

@@ -8,6 +8,7 @@ from matchloom.operators.filters import first_seen, quarantine, top_rows
 from matchloom.operators.joins import lookup_join
 from matchloom.plans.checks import check, table
 from matchloom.session import shared_dir
+from matchloom.sources.inline import inline_table
 from matchloom.streaming.incremental import new_rows, start_incremental
 
 
@@ -31,7 +32,7 @@ def probe_limit(spark, sf):
 )
 def inline_dim(spark, sf):
     rows = [("BUILDING", "B", 1), ("MACHINERY", "M", 2), ("HOUSEHOLD", "H", 3)]
-    segments = spark.createDataFrame(rows, "segment string, segment_code string, segment_weight int")
+    segments = inline_table(spark, rows, "segment string, segment_code string, segment_weight int")
     customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     return lookup_join(customers, segments, {"c_mktsegment": "segment"}, ["segment_code", "segment_weight"])
 

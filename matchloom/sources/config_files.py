@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from matchloom.functions.fixed_values import TEAM_CATALOGUE
 from matchloom.functions.ids import team_id
 from matchloom.operators.aliases import alias_rows
+from matchloom.sources.inline import inline_table
 
 
 def _read_map(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -31,5 +32,5 @@ def read_leagues(spark: SparkSession, path: str) -> DataFrame:
 
 def team_catalogue(spark: SparkSession) -> DataFrame:
     """The built-in team catalogue with the derived team ids."""
-    teams = spark.createDataFrame(TEAM_CATALOGUE, "equipo string, estadio string, ciudad string, capacidad int")
+    teams = inline_table(spark, TEAM_CATALOGUE, "equipo string, estadio string, ciudad string, capacidad int")
     return teams.withColumn("team_id", team_id("equipo"))
