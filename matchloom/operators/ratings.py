@@ -38,14 +38,20 @@ def overlapping_intervals(df: DataFrame, series: Series) -> DataFrame:
 
 
 def interval_join(
-    facts: DataFrame, intervals: DataFrame, key: str, time: str, bucket: Sequence[Column], take: Sequence[str]
+    facts: DataFrame,
+    intervals: DataFrame,
+    key: str,
+    time: str,
+    bucket: Sequence[Column],
+    take: Sequence[str],
+    rows_per_task: int = 1_000_000,
 ) -> DataFrame:
     """Left join each fact with the interval of its key that holds the fact's time.
 
     The intervals of a key must not overlap (see `overlapping_intervals`), so the only
     candidate is the latest one that starts at or before the fact. It is carried forward over
     the facts in time order: no pairs are built, however many rows a key has. `bucket` cuts
-    the column "_time".
+    the column "_time" of large keys.
     """
     values = [FROM, TO, *take]
     row = F.struct(*facts.columns)
@@ -57,9 +63,8 @@ def interval_join(
         F.col(key).alias("_key"), F.col(FROM).alias("_time"), F.lit(0).alias("_kind"),
         F.lit(None).alias("_fact"), F.struct(*values).alias("_interval"),
     )
-    line = fill_forward(
-        spans.unionByName(events), Series(["_key"], ["_time", "_kind"], bucket), {"_valid": F.col("_interval")}
-    )
+    line = Series(["_key"], ["_time", "_kind"], bucket, rows_per_task)
+    line = fill_forward(spans.unionByName(events), line, {"_valid": F.col("_interval")})
     holds = F.col("_valid.to").isNull() | (F.col("_time") < F.col("_valid.to"))
     keyed = line.filter("_kind = 1").select(
         "_fact.*", *[F.when(holds, F.col(f"_valid.{c}")).alias(c) for c in values]

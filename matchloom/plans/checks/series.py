@@ -14,11 +14,12 @@ from matchloom.sources.inline import inline_table
 
 
 def by_user():
-    return W.Series(["user_id"], ["ts"], [W.time_bucket("ts", "day")])
+    return W.Series(["user_id"], ["ts"], [W.time_bucket("ts")])
 
 
 def by_type():
-    return W.Series(["event_type"], ["ts", "event_id"], [W.time_bucket("ts", "hour")])
+    """There are few event types, so each of them is large."""
+    return W.Series(["event_type"], ["ts", "event_id"], [W.time_bucket("ts")], rows_per_task=1_000)
 
 
 @check(
@@ -173,7 +174,7 @@ def ratings_at_date(spark, sf):
 def interval_join(spark, sf):
     errors = table(spark, sf, "events").filter("event_type = 'error'").select("event_id", "user_id", "ts")
     spans = store(purchase_intervals(spark, sf), "intervals")
-    return V.interval_join(errors, spans, "user_id", "ts", [W.time_bucket("_time", "day")], ["rating"])
+    return V.interval_join(errors, spans, "user_id", "ts", [W.time_bucket("_time")], ["rating"])
 
 
 @check(

@@ -32,8 +32,13 @@ def df(spark, data, request):
     return spark.createDataFrame(data, schema).repartition(request.param)
 
 
-def hourly():
-    return W.Series(["k"], ["ts"], [W.time_bucket("ts", "hour")])
+@pytest.fixture(params=[1, 60, 10_000], ids=["all keys cut", "one key cut", "no key cut"])
+def limit(request):
+    return request.param
+
+
+def hourly(limit):
+    return W.Series(["k"], ["ts"], [W.time_bucket("ts", "hour")], limit)
 
 
 def by_key(data):
@@ -47,48 +52,50 @@ def got(df, name):
     return {r.i: r[name] for r in df.collect()}
 
 
-def test_running_total_and_numbers(df, data):
+def test_running_total_and_numbers(df, data, limit):
     totals, numbers = {}, {}
     for rows in by_key(data).values():
         total = 0
         for n, r in enumerate(rows, 1):
             total += r[0]
             totals[r[0]], numbers[r[0]] = total, n
-    assert got(W.running_total(df, hourly(), F.col("i"), "t"), "t") == totals
-    assert got(W.row_numbers(df, hourly(), "n"), "n") == numbers
+    assert got(W.running_total(df, hourly(limit), F.col("i"), "t"), "t") == totals
+    assert got(W.row_numbers(df, hourly(limit), "n"), "n") == numbers
 
 
-def test_next_row(df, data):
+def test_next_row(df, data, limit):
     expected = {}
     for rows in by_key(data).values():
         for r, following in zip(rows, [*rows[1:], None]):
             expected[r[0]] = following and following[4]
-    assert got(W.next_row(df, hourly(), {"n": F.col("v")}), "n") == expected
+    assert got(W.next_row(df, hourly(limit), {"n": F.col("v")}), "n") == expected
 
 
-def test_fill_forward(df, data):
+def test_fill_forward(df, data, limit):
     expected = {}
     for rows in by_key(data).values():
         last = None
         for r in rows:
             last = r[4] if r[4] is not None else last
             expected[r[0]] = last
-    assert got(W.fill_forward(df, hourly(), {"f": F.col("v")}), "f") == expected
+    assert got(W.fill_forward(df, hourly(limit), {"f": F.col("v")}), "f") == expected
 
 
-@pytest.mark.parametrize("n, chunk", [(2, 3), (5, 5), (10, 100_000), (7, 16)])
-def test_rolling_mean(df, data, n, chunk):
+@pytest.mark.parametrize("n", [2, 7, 90])
+def test_rolling_mean(df, data, n, limit):
     expected = {}
     for rows in by_key(data).values():
         for at, r in enumerate(rows):
             window = [x[4] for x in rows[max(0, at - n + 1) : at + 1]]
             full = len(window) == n and None not in window
             expected[r[0]] = round(sum(window) / n, 9) if full else None
-    found = got(W.rolling_mean(df, hourly(), "v", n, "m", chunk_rows=chunk), "m")
+    found = got(W.rolling_mean(df, hourly(limit), "v", n, "m"), "m")
+    again = got(W.rolling_mean(df, hourly(limit), "v", n, "m", source=df), "m")
+    assert again == found
     assert {i: m and round(m, 9) for i, m in found.items()} == {i: m and round(m, 9) for i, m in expected.items()}
 
 
-def test_records(df, data):
+def test_records(df, data, limit):
     expected, folded = {}, {}
     for key, rows in by_key(data).items():
         record = 0
@@ -98,7 +105,7 @@ def test_records(df, data):
                 expected[r[0]] = record
                 fold = folded.setdefault((key, record), {})
                 fold[r[3]] = r[0]
-    records = W.segment_records(df, hourly(), F.col("kind") == "start", "record")
+    records = W.segment_records(df, hourly(limit), F.col("kind") == "start", "record")
     assert got(records, "record") == expected
     wide = W.fold_records(records, ["k", "record"], "kind", "ts", {"a": ("a", F.col("i")), "s": ("start", F.col("i"))})
     assert {(r.k, r.record): (r.a, r.s) for r in wide.collect()} == {
@@ -109,7 +116,7 @@ def test_records(df, data):
 def test_order_over_two_columns(spark):
     rows = [(i, i // 7, i % 7) for i in range(100)]
     df = spark.createDataFrame(rows, "i int, a int, b int").withColumn("k", F.lit("k"))
-    line = W.Series(["k"], ["a", "b"], [F.col("a"), W.number_bucket("b", 3)])
+    line = W.Series(["k"], ["a", "b"], [F.col("a"), W.number_bucket("b", 3)], 10)
     assert got(W.row_numbers(df, line, "n"), "n") == {i: i + 1 for i in range(100)}
 
 
@@ -126,9 +133,9 @@ def test_ranks(spark):
 # -- ratings --------------------------------------------------------------------------------
 
 
-def intervals(df):
+def intervals(df, limit):
     starts = df.filter("kind = 'start'").select("k", "ts", "i")
-    return V.validity_intervals(starts, hourly(), "ts").select("k", "from", "to", F.col("i").alias("rating"))
+    return V.validity_intervals(starts, hourly(limit), "ts").select("k", "from", "to", F.col("i").alias("rating"))
 
 
 def spans(data):
@@ -140,17 +147,17 @@ def spans(data):
     return out
 
 
-def test_ratings_at(df, data):
+def test_ratings_at(df, data, limit):
     day = dt.datetime(2024, 1, 6)
-    found = {tuple(r) for r in V.ratings_at(intervals(df), "2024-01-06").collect()}
+    found = {tuple(r) for r in V.ratings_at(intervals(df, limit), "2024-01-06").collect()}
     assert found == {s for s in spans(data) if s[1] <= day and (s[2] is None or s[2] > day)}
-    assert {tuple(r) for r in V.ratings_at(intervals(df), day.replace(tzinfo=dt.timezone.utc)).collect()} == found
-    assert V.ratings_at(intervals(df)).filter("`to` is not null").count() == 0
+    assert {tuple(r) for r in V.ratings_at(intervals(df, limit), day.replace(tzinfo=dt.timezone.utc)).collect()} == found
+    assert V.ratings_at(intervals(df, limit)).filter("`to` is not null").count() == 0
 
 
-def test_interval_join(df, data):
+def test_interval_join(df, data, limit):
     facts = df.filter("kind = 'a' or k is null").select("i", "k", "ts")
-    found = V.interval_join(facts, intervals(df), "k", "ts", [W.time_bucket("_time", "hour")], ["rating"])
+    found = V.interval_join(facts, intervals(df, limit), "k", "ts", [W.time_bucket("_time", "hour")], ["rating"], limit)
     expected = {}
     for i, k, ts, kind, _ in data:
         if kind == "a" or k is None:
@@ -163,7 +170,7 @@ def test_interval_join_ends_and_gaps(spark):
     t = lambda h: START + dt.timedelta(hours=h)
     spans = spark.createDataFrame([("x", t(0), t(2), 1), ("x", t(5), t(6), 2)], "k string, `from` timestamp, `to` timestamp, r int")
     facts = spark.createDataFrame([(i, "x", t(h)) for i, h in enumerate([0, 1, 2, 5, 6, -1])], "i int, k string, ts timestamp")
-    found = V.interval_join(facts, spans, "k", "ts", [W.time_bucket("_time", "hour")], ["r"])
+    found = V.interval_join(facts, spans, "k", "ts", [W.time_bucket("_time", "hour")], ["r"], 1)
     assert got(found, "r") == {0: 1, 1: 1, 2: None, 3: 2, 4: None, 5: None}
     line = W.Series(["k"], ["from"], [W.time_bucket("from", "day")])
     assert V.overlapping_intervals(spans, line).count() == 0
