@@ -14,7 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("sources", "columns", "rows", "joins", "results", "series", "text", "pages")
+_MODULES = ("sources", "columns", "rows", "joins", "results", "series", "text", "pages", "jobs")
 
 
 def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
