@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchloom.functions.binding import once
 from matchloom.functions.fixed_values import (
     NOISE_WORDS,
     SCORE_PATTERN,
@@ -51,10 +52,12 @@ def strip_accents(c: Column | str, hyphens: bool = False) -> Column:
         kept = [(s, t) for s, t in zip(source, target) if s not in _HYPHENS]
         source = "".join(s for s, _ in kept) + _HYPHENS
         target = "".join(t for _, t in kept) + "-" * len(_HYPHENS)
-    text = _col(c)
-    is_ascii = F.octet_length(text) == F.length(text)
-    plain = F.regexp_replace(F.translate(text, source, target), r"[^\x00-\x7F]+", "")
-    return F.when(is_ascii, text).otherwise(plain)
+
+    def plain(text: Column) -> Column:
+        letters = F.regexp_replace(F.translate(text, source, target), r"[^\x00-\x7F]+", "")
+        return F.when(F.octet_length(text) == F.length(text), text).otherwise(letters)
+
+    return once(c, plain)
 
 
 @F.pandas_udf(T.StringType())
@@ -88,8 +91,8 @@ def clean_match_id(c: Column | str) -> Column:
 
 def to_int(c: Column | str) -> Column:
     """Whole number in a text, cut towards zero; anything else gives null."""
-    text = strip_space(c)
-    return F.when(text.rlike(_NUMBER), text.try_cast("double").try_cast("bigint"))
+    number = lambda text: F.when(text.rlike(_NUMBER), text.try_cast("double").try_cast("bigint"))
+    return once(strip_space(c), number)
 
 
 def percent_int(c: Column | str) -> Column:
@@ -102,25 +105,25 @@ def is_percent(c: Column | str) -> Column:
     return F.coalesce(_col(c).endswith("%"), F.lit(False))
 
 
-def _group_int(c: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(c, pattern, group).try_cast("int")
+def _numbers(text: Column, pattern: str, first: str, second: str) -> Column:
+    """The two whole numbers that a pattern captures, as a struct."""
+    number = lambda group: F.regexp_extract(text, pattern, group).try_cast("int")
+    return F.struct(number(1).alias(first), number(2).alias(second))
 
 
 def stat_pair(c: Column | str) -> Column:
     """The numbers of "x of y" as struct(part, total); both null when the text has no such pair."""
-    text = _col(c)
-    return F.struct(
-        _group_int(text, STAT_PAIR_PATTERN, 1).alias("part"),
-        _group_int(text, STAT_PAIR_PATTERN, 2).alias("total"),
-    )
+    return once(c, lambda text: _numbers(text, STAT_PAIR_PATTERN, "part", "total"))
 
 
 def score_pair(c: Column | str) -> Column:
     """Goals of a score such as "2–1" as struct(home, away); both null when it is no plain score."""
-    text = _col(c)
-    home, away = _group_int(text, SCORE_PATTERN, 1), _group_int(text, SCORE_PATTERN, 2)
-    both = home.isNotNull() & away.isNotNull()
-    return F.struct(F.when(both, home).alias("home"), F.when(both, away).alias("away"))
+
+    def both_or_none(pair: Column) -> Column:
+        both = pair["home"].isNotNull() & pair["away"].isNotNull()
+        return F.struct(*[F.when(both, pair[side]).alias(side) for side in ("home", "away")])
+
+    return once(once(c, lambda text: _numbers(text, SCORE_PATTERN, "home", "away")), both_or_none)
 
 
 def strip_prefix(c: Column | str, prefixes: Sequence[str] = SPECIAL_PREFIXES) -> Column:
@@ -131,16 +134,20 @@ def strip_prefix(c: Column | str, prefixes: Sequence[str] = SPECIAL_PREFIXES) ->
 
 def strip_words(c: Column | str, words: Sequence[str] = NOISE_WORDS, separator: str = "-") -> Column:
     """Text without the run of noise words it starts with; accents and case do not count."""
-    text = _col(c)
-    alternatives = "|".join(re.escape(w) for w in words)
     sep = re.escape(separator)
-    run = F.regexp_extract(
-        F.lower(strip_accents(text)), f"^((?:(?:{alternatives})(?:{sep}|$))*+)", 1
-    )
-    # The run is counted in words, since dropped characters may change its length.
-    n_words = F.size(F.regexp_extract_all(run, F.lit(f"([a-z]+)(?:{sep}|$)"), F.lit(1)))
-    parts = F.split(text, sep)
-    return F.array_join(F.slice(parts, n_words + 1, F.greatest(F.size(parts), F.lit(1))), separator)
+    pattern = f"^((?:(?:{'|'.join(re.escape(w) for w in words)})(?:{sep}|$))*+)"
+
+    def stripped(text: Column) -> Column:
+        run = F.regexp_extract(F.lower(strip_accents(text)), pattern, 1)
+        # The run is counted in words, since dropped characters may change its length.
+        n_words = F.size(F.regexp_extract_all(run, F.lit(f"([a-z]+)(?:{sep}|$)"), F.lit(1)))
+        rest = once(
+            F.split(text, sep),
+            lambda parts: F.array_join(F.slice(parts, n_words + 1, F.greatest(F.size(parts), F.lit(1))), separator),
+        )
+        return F.when(run == "", text).otherwise(rest)
+
+    return once(c, stripped)
 
 
 def null_if_token(c: Column | str, tokens: Sequence[str]) -> Column:
