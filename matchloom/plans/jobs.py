@@ -43,6 +43,7 @@ from matchloom.operators.quality import name_dictionary
 from matchloom.operators.reshape import set_union, team_match_rows
 from matchloom.operators.series import Series, next_row, number_bucket, segment_records
 from matchloom.operators.splits import two_name_split
+from matchloom.session import store
 from matchloom.sources.pages import cell, player_rows
 
 _ROWS_PER_BUCKET = 100_000
@@ -79,9 +80,9 @@ def match_records(raw: DataFrame) -> DataFrame:
     A row of two percentages opens a record; under a label stands the row with its values.
     """
     line = Series(["match_url"], ["row_no"], [number_bucket("row_no", _ROWS_PER_BUCKET)])
+    raw = raw.withColumn("opens", is_percent("home") & is_percent("away"))
     rows = next_row(raw, line, {"next_home": F.col("home"), "next_away": F.col("away")})
-    opens = is_percent("home") & is_percent("away")
-    rows = segment_records(rows.withColumn("opens", opens), line, F.col("opens"), "record")
+    rows = segment_records(rows, line, F.col("opens"), "record", source=raw)
 
     def last_where(condition, value):
         return F.max_by(value, F.when(condition, F.col("row_no")))
@@ -103,19 +104,22 @@ def match_records(raw: DataFrame) -> DataFrame:
     )
 
 
-def with_match_teams(records: DataFrame, fixtures: DataFrame) -> DataFrame:
-    """Match records with the fixture names of both teams (null when a link names no known pair) and the month."""
+def teams_of_links(links: DataFrame, fixtures: DataFrame) -> DataFrame:
+    """Each distinct `match_url` with the fixture names of both teams and the month.
+
+    The names are null when the link names no known pair.
+    """
     known = name_dictionary(set_union([fixtures, fixtures], ["Home", "Away"], "team"), "team")
     known = known.withColumn("slug_name", F.translate("norm_name", " ", "-"))
-    slug = F.translate(normalize_text("link_teams"), " ", "-")
-    links = link_names(records, "match_url").withColumn("slug", slug)
-    split = two_name_split(links, "slug", known, "slug_name", fallback=False)
+    urls = link_names(links.select("match_url").distinct(), "match_url")
+    slugs = urls.withColumn("slug", F.translate(normalize_text("link_teams"), " ", "-"))
+    split = two_name_split(slugs, "slug", known, "slug_name", fallback=False)
     both = F.col("score") == 2
     split = split.withColumns({c: F.when(both, F.col(c)) for c in ("left_name", "right_name")})
     named = role_join(
         split, known, "slug_name", {"left_name": {"name": "home_team"}, "right_name": {"name": "away_team"}}
     )
-    return named.withColumnRenamed("link_month", "month_txt").drop("link_teams", "slug", "score", "left_name", "right_name")
+    return named.select("match_url", "home_team", "away_team", F.col("link_month").alias("month_txt"))
 
 
 _MEASURES = (
@@ -160,14 +164,14 @@ def team_stats_final(stats: DataFrame, teams: DataFrame) -> DataFrame:
 
 def team_match_stats(raw: DataFrame, fixtures: DataFrame, teams: DataFrame) -> DataFrame:
     """From the raw rows of match pages to one row per match and side."""
-    records = with_match_teams(match_records(raw), fixtures)
+    records = match_records(raw).join(teams_of_links(raw, fixtures), "match_url", "left")
     return team_match_rows(team_stats_final(stats_with_ids(records, fixtures), teams))
 
 
 def unresolved_matches(raw: DataFrame, fixtures: DataFrame) -> DataFrame:
     """Links whose teams could not be told apart."""
-    records = with_match_teams(match_records(raw), fixtures)
-    return records.filter(F.col("home_team").isNull() | F.col("away_team").isNull()).select("match_url").distinct()
+    links = teams_of_links(raw, fixtures)
+    return links.filter(F.col("home_team").isNull() | F.col("away_team").isNull()).select("match_url")
 
 
 # -- players --------------------------------------------------------------------------------
@@ -181,17 +185,19 @@ def player_catalogue(players: DataFrame, teams: DataFrame) -> DataFrame:
 
 
 def players_with_match_id(raw: DataFrame, known_teams: DataFrame, name: str = "equipo") -> DataFrame:
-    """Player rows with the match id derived from their link; summary rows are left out."""
+    """Player rows with the match id derived from their link; summary rows are left out.
+
+    Every distinct link is read once, however many rows it has.
+    """
     require_columns(raw, ["match_url"])
     player = find_column(raw, "player")
     rows = drop_summary_rows(raw, player) if player else raw
-    slug_name = F.translate(normalize_text(name), " ", "-")
-    known = known_teams.select(slug_name.alias("slug_name"))
-    links = link_parts(rows, "match_url").withColumn("_teams", F.translate(normalize_text("link_teams"), " ", "-"))
-    split = two_name_split(links, "_teams", known, "slug_name")
-    return split.withColumn("id", match_id("left_name", "right_name", "link_date")).drop(
-        "_teams", "link_teams", "link_date", "score", "left_name", "right_name"
-    )
+    known = known_teams.select(F.translate(normalize_text(name), " ", "-").alias("slug_name"))
+    links = link_parts(raw.select("match_url").distinct(), "match_url")
+    links = links.withColumn("slug", F.translate(normalize_text("link_teams"), " ", "-"))
+    split = two_name_split(links, "slug", known, "slug_name")
+    ids = split.select("match_url", match_id("left_name", "right_name", "link_date").alias("id"))
+    return lookup_join(rows, ids, "match_url", ["id"])
 
 
 def normalized_players(rows: DataFrame) -> DataFrame:
@@ -207,8 +213,12 @@ def player_stats_final(rows: DataFrame, players: DataFrame) -> DataFrame:
 
 
 def player_match_stats(raw: DataFrame, players: DataFrame, known_teams: DataFrame) -> DataFrame:
-    """From the raw player rows of match pages to statistics by match id and player id."""
-    return player_stats_final(normalized_players(players_with_match_id(raw, known_teams)), players)
+    """From the raw player rows of match pages to statistics by match id and player id.
+
+    Rows with their match id are stored, since dropping empty columns reads them once more.
+    """
+    rows = store(players_with_match_id(raw, known_teams), "players")
+    return player_stats_final(normalized_players(rows), players)
 
 
 def keeper_stats(tables: DataFrame, basic: Sequence[str], advanced: Sequence[str]) -> DataFrame:
