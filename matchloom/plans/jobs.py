@@ -113,7 +113,7 @@ def teams_of_links(links: DataFrame, fixtures: DataFrame) -> DataFrame:
     known = known.withColumn("slug_name", F.translate("norm_name", " ", "-"))
     urls = link_names(links.select("match_url").distinct(), "match_url")
     slugs = urls.withColumn("slug", F.translate(normalize_text("link_teams"), " ", "-"))
-    split = two_name_split(slugs, "slug", known, "slug_name", fallback=False)
+    split = two_name_split(slugs, "slug", known, "slug_name", fallback=False, distinct_rows=True)
     both = F.col("score") == 2
     split = split.withColumns({c: F.when(both, F.col(c)) for c in ("left_name", "right_name")})
     named = role_join(
@@ -195,7 +195,7 @@ def players_with_match_id(raw: DataFrame, known_teams: DataFrame, name: str = "e
     known = known_teams.select(F.translate(normalize_text(name), " ", "-").alias("slug_name"))
     links = link_parts(raw.select("match_url").distinct(), "match_url")
     links = links.withColumn("slug", F.translate(normalize_text("link_teams"), " ", "-"))
-    split = two_name_split(links, "slug", known, "slug_name")
+    split = two_name_split(links, "slug", known, "slug_name", distinct_rows=True)
     ids = split.select("match_url", match_id("left_name", "right_name", "link_date").alias("id"))
     return lookup_join(rows, ids, "match_url", ["id"])
 
