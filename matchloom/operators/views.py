@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.functions.dates import season_code
+from matchloom.functions.dates import constant_season_code
 from matchloom.operators.aliases import alias_filter
 from matchloom.operators.filters import keep_values
 
@@ -25,7 +25,7 @@ def keep_seasons(df: DataFrame, seasons: object, single: bool = False) -> DataFr
     for text in texts:
         if not _SEASON.fullmatch(text):
             raise ValueError(f"Invalid season '{text}'")
-    return df.filter(F.col("season").isin(*[season_code(F.lit(t), single) for t in texts]))
+    return df.filter(F.col("season").isin(*[constant_season_code(t, single) for t in texts]))
 
 
 def dataset_view(
