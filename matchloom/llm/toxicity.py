@@ -32,7 +32,7 @@ from matchloom.session import store
 
 POSITIVES = 3000
 UNLABELLED = 9000
-FEATURES = 3000
+FEATURES = 600
 FOLDS = 5
 MEMBERS = 3
 #: Words whose weight a task remembers.
@@ -86,7 +86,7 @@ class Classifier:
         return score
 
 
-def nonnegative_pu(x: np.ndarray, positive: np.ndarray, prior: float, seed: int, epochs: int = 60, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
+def nonnegative_pu(x: np.ndarray, positive: np.ndarray, prior: float, seed: int, epochs: int = 40, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
     """Weights and bias of a linear classifier under the non-negative risk, by Adam.
 
     The loss of a decision value z for label y is sigmoid(-y z). Where the estimated risk on clean text
@@ -154,7 +154,7 @@ def select_features(sample: DataFrame, limit: int) -> list[str]:
     counts = counts.agg(*(F.sum(F.when(F.col("role") == r, F.col("n")).otherwise(0)).alias(c) for r, c in ((1, "p"), (0, "u"))))
     share_p, share_u = F.col("p") / np_, F.col("u") / nu
     tie = (share_p - share_u) / F.sqrt(share_p / np_ + (share_u + 1 / nu) / nu)
-    return [r["feature"] for r in counts.filter("p >= 3").orderBy(F.abs(tie).desc(), "feature").limit(limit).select("feature").collect()]
+    return [r["feature"] for r in counts.filter("p >= 3").orderBy(tie.desc(), "feature").limit(limit).select("feature").collect()]
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED, limit: int = FEATURES, members: int = MEMBERS) -> Classifier:
