@@ -312,6 +312,13 @@ def keep_one(docs: DataFrame, words: int = 3, distance: int = 3, seed: int = 42)
     fps = store(fingerprints(docs, words, seed), "fingerprints")
     found = _with_component(fps, distance).filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_n"))
     chosen = store(found, "chosen")
-    once = docs.join(chosen.filter("_n = 1").select("doc_id"), "doc_id", "left_semi")
-    often = docs.join(chosen.filter("_n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.select(docs.columns).unionByName(often.select(docs.columns)).unionByName(docs.filter("doc_id IS NULL"))
+    repeated = chosen.filter("_n > 1").select("doc_id")
+    # The chosen keys grow with the documents, so both sides are shuffled at every size. One row per
+    # key remains on either side, but for repeated rows.
+    if repeated.isEmpty():
+        kept = docs.join(chosen.select("doc_id").hint("merge"), "doc_id", "left_semi")
+    else:
+        once = docs.join(chosen.filter("_n = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
+        often = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        kept = once.select(docs.columns).unionByName(often.select(docs.columns))
+    return kept.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
