@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Sequence
@@ -26,14 +27,14 @@ _NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 
 
 @lru_cache(maxsize=1)
-def _ascii_letters() -> tuple[str, str]:
-    """Non-ASCII characters whose compatibility form holds exactly one ASCII character."""
+def _ascii_letters() -> tuple[str, str, dict[str, str]]:
+    """Non-ASCII characters with an ASCII form: those of one letter with it, and the longer forms."""
     plain = {
         char: unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode("ascii")
         for char in map(chr, range(0x80, 0x20000))
     }
     single = {char: text for char, text in plain.items() if len(text) == 1}
-    return "".join(single), "".join(single.values())
+    return "".join(single), "".join(single.values()), {char: text for char, text in plain.items() if len(text) > 1}
 
 
 def _col(c: Column | str) -> Column:
@@ -43,18 +44,26 @@ def _col(c: Column | str) -> Column:
 def strip_accents(c: Column | str, hyphens: bool = False) -> Column:
     """Letters without their accents; what has no ASCII form is dropped.
 
-    Covers every character with a one-letter ASCII form. Ligatures and fractions,
-    which turn into several letters, need `strip_accents_exact`.
+    Texts with ligatures, fractions and other characters that turn into several letters take a
+    second look-up, character by character; all others are translated in one pass.
     With `hyphens`, typographic hyphens become "-" instead of vanishing.
     """
-    source, target = _ascii_letters()
+    source, target, longer = _ascii_letters()
+    several = "[" + "".join(map(re.escape, longer)) + "]"
+    # Folded into a constant map when the query is planned.
+    forms = F.from_json(F.lit(json.dumps(longer)), "map<string,string>")
     if hyphens:
         kept = [(s, t) for s, t in zip(source, target) if s not in _HYPHENS]
         source = "".join(s for s, _ in kept) + _HYPHENS
         target = "".join(t for _, t in kept) + "-" * len(_HYPHENS)
 
+    def spelled_out(text: Column) -> Column:
+        each = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+        return F.array_join(F.transform(each, lambda char: F.coalesce(F.element_at(forms, char), char)), "")
+
     def plain(text: Column) -> Column:
-        letters = F.regexp_replace(F.translate(text, source, target), r"[^\x00-\x7F]+", "")
+        whole = F.when(text.rlike(several), spelled_out(text)).otherwise(text)
+        letters = F.regexp_replace(F.translate(whole, source, target), r"[^\x00-\x7F]+", "")
         return F.when(F.octet_length(text) == F.length(text), text).otherwise(letters)
 
     return once(c, plain)
@@ -62,7 +71,7 @@ def strip_accents(c: Column | str, hyphens: bool = False) -> Column:
 
 @F.pandas_udf(T.StringType())
 def strip_accents_exact(texts: pd.Series) -> pd.Series:
-    """`strip_accents` for all of Unicode, on Arrow batches."""
+    """The yardstick of `strip_accents`, on Arrow batches."""
     plain = texts.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
     return plain.where(texts.notna(), None)
 

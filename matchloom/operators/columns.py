@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
+from itertools import starmap
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,7 +82,10 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 def find_column(df: DataFrame, part: str) -> str | None:
     """First column whose name contains a text, whatever its case."""
-    return next((c for c in df.columns if part.lower() in c.lower()), None)
+    wanted = re.compile(re.escape(part), re.IGNORECASE)
+    for name in filter(wanted.search, df.columns):
+        return name
+    return None
 
 
 def standardize_columns(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
@@ -97,8 +103,26 @@ def null_tokens(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame
 # -- two-level headers ----------------------------------------------------------------------
 
 
-def _named(level: str | None) -> bool:
-    return bool(level) and "Unnamed" not in level
+@dataclass(frozen=True)
+class Header:
+    """A column's header in two levels; parsers write placeholders where a level is blank."""
+
+    group: str | None
+    name: str | None
+
+    @property
+    def levels(self) -> list[str]:
+        """The levels that say something, the group first."""
+        return [level.strip() for level in (self.group, self.name) if level and level.strip() and "Unnamed" not in level]
+
+    @property
+    def best(self) -> str:
+        """The most specific level, or the placeholder if there is none."""
+        return self.levels[-1] if self.levels else str(self.name)
+
+    @property
+    def in_group(self) -> bool:
+        return len(self.levels) == 2
 
 
 def unique_names(names: Sequence[str]) -> list[str]:
@@ -115,26 +139,24 @@ def unique_names(names: Sequence[str]) -> list[str]:
 
 
 def join_levels(headers: Sequence[tuple[str | None, str | None]]) -> list[str]:
-    """Column names from (group, name) headers, all named levels joined by "_"."""
-    parts = [[level for level in header if _named(level)] for header in headers]
-    return unique_names(["_".join(p) or str(h[-1]) for p, h in zip(parts, headers)])
+    """Column names from (group, name) headers: group and name where both are there."""
+    return unique_names(["_".join(h.levels) or h.best for h in starmap(Header, headers)])
 
 
 def last_level(headers: Sequence[tuple[str | None, str | None]]) -> list[str]:
-    """Column names from (group, name) headers, the last named level; a repeat gets its group in front."""
-    names = [next((lv for lv in h[::-1] if _named(lv)), str(h[-1])) for h in headers]
-    counts = Counter(names)
-    first, out = set(), []
-    for name, (group, _) in zip(names, headers):
-        repeat = counts[name] > 1 and name in first
-        first.add(name)
-        out.append(f"{group}_{name}" if repeat and _named(group) else name)
+    """Column names from (group, name) headers: the name alone, with its group from its second use on."""
+    used: set[str] = set()
+    out = []
+    for header in starmap(Header, headers):
+        again = header.best in used and header.in_group
+        used.add(header.best)
+        out.append("_".join(header.levels) if again else header.best)
     return unique_names(out)
 
 
 def merge_headers(headers: Sequence[tuple[str, str]]) -> list[str]:
-    """Column names from two header rows: the lower one where it is filled, else the upper one."""
-    return unique_names([(low.strip() or high.strip()) for high, low in headers])
+    """Column names from two header rows, the lower one winning; a column may be blank in both."""
+    return unique_names([h.best if h.levels else "" for h in starmap(Header, headers)])
 
 
 def resolve_groups(
@@ -142,31 +164,23 @@ def resolve_groups(
 ) -> list[list[str]]:
     """One name per (group, name) header, the same for a statistic in whatever frame it stands.
 
-    A statistic without a named group takes the group it has in another frame, so the result
-    does not depend on the order of the frames. A name in the group level counts as well.
+    A statistic without a named group takes the group it has in another frame (the first in
+    alphabetical order), so the result does not depend on the order of the frames. A name in the
+    group level counts as well.
     """
-
-    def stat_of(header: tuple[str, str]) -> str:
-        group, name = header
-        return name if _named(name) else group
-
-    groups: dict[str, set[str]] = {}
-    for header in (h for headers in frames_headers for h in headers):
-        group, name = header
-        found = groups.setdefault(stat_of(header), set())
-        if _named(group) and _named(name):
-            found.add(group)
-
-    def final(header: tuple[str, str]) -> str:
-        group, name = header
-        stat = stat_of(header)
-        if stat in keys:
-            return stat
-        if _named(group) and _named(name):
-            return f"{group}_{name}"
-        return f"{min(groups[stat])}_{stat}" if groups[stat] else stat
-
-    return [[final(h) for h in headers] for headers in frames_headers]
+    frames = [list(starmap(Header, headers)) for headers in frames_headers]
+    groups: dict[str, str] = {}
+    for header in (h for headers in frames for h in headers if h.in_group):
+        group = header.levels[0]
+        groups[header.best] = min(group, groups.get(header.best, group))
+
+    def final(header: Header) -> str:
+        if header.best in keys:
+            return header.best
+        group = header.levels[0] if header.in_group else groups.get(header.best)
+        return f"{group}_{header.best}" if group else header.best
+
+    return [[final(h) for h in headers] for headers in frames]
 
 
 # -- putting frames together ----------------------------------------------------------------

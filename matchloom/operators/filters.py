@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -94,12 +95,18 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
     return df.groupBy(*keys).agg(newest).select(*keys, "_newest.*").select(*df.columns)
 
 
-def with_freshness(df: DataFrame, fetched_at: str, as_of: Column, max_age_days: int | None) -> DataFrame:
-    """Flag rows that are not older than `max_age_days` at `as_of`; without a limit all are fresh."""
-    if max_age_days is None:
+def with_freshness(df: DataFrame, fetched_at: str, as_of: Column, max_age: int | dt.timedelta | None) -> DataFrame:
+    """Flag rows that are young enough at `as_of`; without a limit all are fresh.
+
+    A number counts calendar days; a time span is compared in full, down to the second.
+    """
+    if max_age is None:
         return df.withColumn("is_fresh", F.lit(True))
+    if isinstance(max_age, dt.timedelta):
+        oldest = as_of.cast("timestamp") - F.lit(max_age)
+        return df.withColumn("is_fresh", F.col(fetched_at).cast("timestamp") >= oldest)
     age = F.datediff(as_of.cast("date"), F.col(fetched_at).cast("date"))
-    return df.withColumn("is_fresh", age <= max_age_days)
+    return df.withColumn("is_fresh", age <= max_age)
 
 
 def quarantine(df: DataFrame, is_good: Column) -> tuple[DataFrame, DataFrame]:

@@ -94,5 +94,4 @@ def latest_snapshot(
     """Newest row per key with `is_fresh`: whether it is young enough. The others form the list to renew."""
     if max_age is not None and not isinstance(max_age, (int, dt.timedelta)):
         raise TypeError("'max_age' must be of type int or datetime.timedelta")
-    days = max_age.days if isinstance(max_age, dt.timedelta) else max_age
-    return with_freshness(latest(df, keys, order), order[0], as_of, days)
+    return with_freshness(latest(df, keys, order), order[0], as_of, max_age)

@@ -42,8 +42,13 @@ def home_away_results(games: DataFrame, result: str, codes: Sequence[str] = ("H"
     )
 
 
-def standings(games: DataFrame, result: str, season: Sequence[str] = (), codes: Sequence[str] = ("H", "A", "D")) -> DataFrame:
-    """League table per season: matches, results, points and place. Ranked after aggregation, one row per team."""
+def standings(games: DataFrame, result: str, season: Sequence[str], codes: Sequence[str] = ("H", "A", "D")) -> DataFrame:
+    """League table per season: matches, results, points and place. Ranked after aggregation, one row per team.
+
+    `season` names at least one column: places are counted within a season.
+    """
+    if not season:
+        raise ValueError("a league table needs the columns of its season")
     table = (
         team_results(games, result, ids=season, codes=codes)
         .groupBy(*season, "team")

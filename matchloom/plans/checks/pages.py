@@ -196,15 +196,18 @@ def table_by_id(spark, sf):
     "match_details",
     """
     SELECT '/orders/' || o_orderkey AS url,
-           CASE WHEN o_orderstatus = 'F' THEN 'Customer ' || o_custkey END AS home_team,
-           CASE WHEN o_orderstatus = 'F' THEN 'Priority ' || o_orderpriority END AS away_team,
-           CASE WHEN o_orderstatus = 'F' THEN month(o_orderdate) || ' 0.5' END AS score,
-           CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%d') END AS date
+           CASE WHEN o_orderstatus = 'F' AND o_orderkey % 10 <> 0 THEN 'Customer ' || o_custkey END AS home_team,
+           CASE WHEN o_orderstatus = 'F' AND o_orderkey % 10 <> 0 THEN 'Priority ' || o_orderpriority END AS away_team,
+           CASE WHEN o_orderstatus = 'F' AND o_orderkey % 10 <> 0 THEN month(o_orderdate) || ' 0.5' END AS score,
+           CASE WHEN o_orderstatus = 'F' AND o_orderkey % 10 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS date
     FROM orders
     """,
 )
 def details_of_matches(spark, sf):
-    """One page per order: status F with a full score box, O without a score, P without a box."""
+    """One page per order: status F with a full score box, O without a score, P without a box.
+
+    Every tenth box lacks the second team, while a linked name stands behind the box.
+    """
     lit, col = F.lit, F.col
 
     def team(label, value, goals):
@@ -216,13 +219,14 @@ def details_of_matches(spark, sf):
             F.when(col("o_orderstatus") == "F", score).otherwise(""), lit("</div>"),
         )
 
+    second = team("Priority ", col("o_orderpriority"), F.dayofmonth("o_orderdate"))
     box = F.concat(
         lit('<div id="top" class="scorebox">'),
         team("Customer ", col("o_custkey").cast("string"), F.month("o_orderdate")),
-        team("Priority ", col("o_orderpriority"), F.dayofmonth("o_orderdate")),
+        F.when(col("o_orderkey") % 10 == 0, lit("")).otherwise(second),
         lit('<div class="scorebox_meta"><div><b>'), F.date_format("o_orderdate", "yyyy-MM-dd"),
         lit("</b></div><div>Venue</div></div></div>"),
     )
-    html = F.concat(lit("<body>"), F.when(col("o_orderstatus") != "P", box).otherwise("<br>"), lit("</body>"))
+    html = F.concat(lit("<body>"), F.when(col("o_orderstatus") != "P", box).otherwise("<br>"), lit('<p><strong><a href="/o">Other</a></strong></p></body>'))
     url = F.concat(lit("/orders/"), col("o_orderkey").cast("string"))
     return match_details(table(spark, sf, "orders").select(url.alias("url"), html.alias("html")))

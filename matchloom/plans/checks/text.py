@@ -15,9 +15,11 @@ _PLAIN = r"regexp_replace(strip_accents({}), '[^\x00-\x7F]', '', 'g')"
 _NORM = r"trim(regexp_replace(replace(lower(" + _PLAIN + r"), '-', ' '), '\s+', ' ', 'g'))"
 
 
-@check("strip_accents", f"SELECT doc_id, {_PLAIN.format('text')} AS plain FROM documents")
+@check("strip_accents", f"SELECT doc_id, {_PLAIN.format('text')} || ' DZeko final 12 tm' AS plain FROM documents")
 def strip_accents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.strip_accents("text").alias("plain"))
+    """Every text, with characters behind it that turn into several letters."""
+    text = F.concat("text", F.lit(" Ǆeko ﬁnal ½ tm"))
+    return table(spark, sf, "documents").select("doc_id", X.strip_accents(text).alias("plain"))
 
 
 @check("strip_accents_exact", f"SELECT doc_id, {_PLAIN.format('text')} AS plain FROM documents")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -18,13 +19,18 @@ RECOMMENDED_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+#: On a cluster adaptive execution starts from many shuffle partitions and merges the small ones;
+#: it cannot make more than it starts with.
+CLUSTER_CONF = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000"}
+
 
 def build_session(app: str = "matchloom", master: str | None = None, **conf: str) -> SparkSession:
     """Build (or get) a session with the recommended settings; `conf` wins over them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RECOMMENDED_CONF, **conf}.items():
+    local = str(master or os.environ.get("MASTER", "")).startswith("local")
+    for key, value in {**RECOMMENDED_CONF, **({} if local else CLUSTER_CONF), **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

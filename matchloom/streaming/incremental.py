@@ -14,13 +14,15 @@ from matchloom.sources.tables import append_aligned, read_or_empty
 
 
 def new_rows(candidates: DataFrame, existing: DataFrame, key: str, prune_by: str | None = None) -> DataFrame:
-    """Candidates whose key is not there yet.
+    """Candidates whose key is not there yet. Candidates without a key are left out: they could never
+    be found again and would be added by every run.
 
     The existing table is reduced to the candidates' keys first: a few candidates are sent to
     the large table, which then needs no shuffle. `prune_by` names a partition column of the
     table that the key determines (such as the date of a match): only partitions between the
     candidates' first and last value are read. Finding these two values runs one job.
     """
+    candidates = candidates.filter(F.col(key).isNotNull())
     if prune_by:
         first, last = candidates.agg(F.min(prune_by), F.max(prune_by)).first()
         existing = existing.filter(F.col(prune_by).isNull() | F.col(prune_by).between(first, last))
@@ -36,7 +38,7 @@ def incremental_append(
     schema: T.StructType | None = None,
     partition_by: str | None = None,
 ) -> None:
-    """Append the first row per new key to a Parquet table; a second run adds nothing.
+    """Append the first row per new key to a Parquet table; a second run adds nothing. Rows without a key are not appended.
 
     `partition_by` must be determined by the key, see `new_rows`.
     """

@@ -86,3 +86,20 @@ def test_expand_groups(spark, rows):
 def test_set_union(spark, rows):
     df = spark.createDataFrame([("A", "B"), ("B", "C")], "h string, a string")
     assert rows(P.set_union([df, df], ["h", "a"], "team")) == [("A",), ("B",), ("C",)]
+
+
+def test_league_table_needs_a_season(games):
+    with pytest.raises(ValueError, match="season"):
+        S.standings(games, "FTR", [])
+
+
+def test_age_below_a_day(spark):
+    import datetime as dt
+
+    from matchloom.operators.filters import with_freshness
+
+    at = dt.datetime(2025, 1, 3, 12)
+    df = spark.createDataFrame([(at - dt.timedelta(hours=h),) for h in (11, 13, 35, 37)], "t timestamp")
+    fresh = lambda age: [r.is_fresh for r in with_freshness(df, "t", F.lit(at), age).orderBy(F.desc("t")).collect()]
+    assert fresh(dt.timedelta(hours=12)) == [True, False, False, False]
+    assert fresh(dt.timedelta(hours=36)) == [True, True, True, False]

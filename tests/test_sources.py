@@ -136,3 +136,10 @@ def test_stream(spark, tmp_path):
     assert run("p") == 100
     assert run("p") == 100
     assert run("other") == 100
+
+
+def test_rows_without_a_key_are_not_appended_again_and_again(spark, tmp_path):
+    rows = spark.createDataFrame([(None, 1), ("a", 2), ("a", 3), (None, 4)], "url string, pos int")
+    for _ in range(3):
+        N.incremental_append(rows, str(tmp_path / "t"), "url", ["pos"])
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "t")).collect()] == [("a", 2)]
