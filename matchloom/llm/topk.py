@@ -100,11 +100,14 @@ def exact_products(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 def search_block(q_id: np.ndarray, q: np.ndarray, q_dist: np.ndarray, ids: np.ndarray, x: np.ndarray, x_dist: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """For each query its id, the best ids and scores of the block, and how many were evaluated."""
-    x_len, q_len = (x**2).sum(axis=1), (q**2).sum(axis=1)
+    with np.errstate(over="ignore"):
+        x_len, q_len = (x**2).sum(axis=1), (q**2).sum(axis=1)
     for i in range(len(q)):
-        lower = np.abs(x_dist - q_dist[i]).max(axis=1) if x_dist.shape[1] else np.zeros(len(x))
-        # The margin covers the rounding of distances and lengths.
-        bound = (x_len + q_len[i] - lower**2) / 2 + 1e-9 * (x_len + q_len[i]) + 1
+        with np.errstate(over="ignore", invalid="ignore"):
+            lower = np.abs(x_dist - q_dist[i]).max(axis=1) if x_dist.shape[1] else np.zeros(len(x))
+            # The margin covers the rounding of distances and lengths.
+            bound = (x_len + q_len[i] - lower**2) / 2 + 1e-9 * (x_len + q_len[i]) + 1
+        bound[~np.isfinite(bound)] = np.inf  # too large for doubles: no candidate is spared
         bound[ids == q_id[i]] = -np.inf
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > -np.inf]

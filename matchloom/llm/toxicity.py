@@ -35,6 +35,7 @@ UNLABELLED = 9000
 FEATURES = 600
 FOLDS = 5
 MEMBERS = 3
+LEAST_STEPS = 400
 #: Words whose weight a task remembers.
 REMEMBERED = 300_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -97,7 +98,7 @@ def nonnegative_pu(x: np.ndarray, positive: np.ndarray, prior: float, seed: int,
     m, v, t = np.zeros_like(w), np.zeros_like(w), 0
     pos, unl = np.flatnonzero(positive), np.flatnonzero(~positive)
     parts = max(1, len(unl) // 1000)
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-LEAST_STEPS // parts))):
         for p_part, u_part in zip(np.array_split(rng.permutation(pos), parts), np.array_split(rng.permutation(unl), parts), strict=True):
             if not len(p_part) or not len(u_part):
                 continue
