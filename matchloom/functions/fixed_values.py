@@ -14,8 +14,18 @@ MONTH_NAMES = (
 ISO_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 ISO_DATE_FORMAT = "%Y-%m-%d"
 
-# A match link: the part between the hexadecimal id and the competition suffix.
-MATCH_LINK_PATTERN = r"/matches/[a-f0-9]+/(.+?)(?:-La-Liga|-Copa|-Champions|$)"
+# A match link: what stands before the names, and the competitions that may stand after the date.
+MATCH_LINK_START = "/matches/[a-f0-9]+/"
+COMPETITION_SUFFIXES = ("-La-Liga", "-Copa", "-Champions")
+
+# Escapes in attributes and the character each stands for.
+ATTRIBUTE_ESCAPES = (
+    (("&quot;", "&#34;"), '"'),
+    (("&apos;", "&#39;", "&#x27;"), "'"),
+    (("&lt;", "&#60;"), "<"),
+    (("&gt;", "&#62;"), ">"),
+    (("&amp;", "&#38;"), "&"),
+)
 
 # Names that sites put in front of some match links, in the order they are tried.
 SPECIAL_PREFIXES = ("El-Clasico-", "El-Derbi-Madrileno-", "El-Gran-Derbi-", "El-Derbi-")

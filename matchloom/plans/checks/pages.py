@@ -26,17 +26,35 @@ def page_title(spark, sf):
     )
 
 
+def pages_with_fixtures(spark, sf):
+    """The pages, each behind a row of a fixture list: a date that is a link, a report with an escaped address, a plain name."""
+    row = F.concat(
+        F.lit("<tr><th data-stat='date'><a href=\"/en/matches/2025-08-15\">day</a></th><td class='x' data-stat=\"match_report\">"),
+        F.lit("<A class='y' HREF='/en/matches/"), F.hex("page_id"), F.lit("?a=1&amp;b=&#39;2'>r</A>"),
+        F.lit("<a href=\"/en/matches/later\">r</a></td><td data-stat='note'><b data-href=\"/no\">n</b></td></tr>"),
+    )
+    return table(spark, sf, "pages").select("page_id", F.concat(row, "html").alias("html"))
+
+
 @check(
     "page_links",
     r"""
     WITH found AS (
-      SELECT page_id, regexp_extract_all(html, '(?i)<a\s[^>]*?href="([^"]+)"', 1) AS hrefs FROM pages
+      SELECT page_id, ['/en/matches/2025-08-15', '/en/matches/' || hex(page_id) || '?a=1&b=''2', '/en/matches/later'] ||
+             list_transform(regexp_extract_all(html, '(?i)<a\s[^>]*?href="([^"]+)"', 1), lambda x: replace(x, '&amp;', '&')) AS hrefs
+      FROM pages
     )
     SELECT page_id, CAST(unnest(range(0, len(hrefs))) AS INTEGER) AS pos, unnest(hrefs) AS href FROM found
     """,
 )
 def page_links(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.posexplode(B.page_links("html")).alias("pos", "href"))
+    return pages_with_fixtures(spark, sf).select("page_id", F.posexplode(B.page_links("html")).alias("pos", "href"))
+
+
+@check("match_links", "SELECT page_id, '/en/matches/' || hex(page_id) || '?a=1&b=''2' AS href FROM pages")
+def match_links(spark, sf):
+    pages = pages_with_fixtures(spark, sf)
+    return pages.select("page_id", F.explode(B.match_links("html", "match_report")).alias("href"))
 
 
 @check(

@@ -6,27 +6,29 @@ from pyspark.sql import functions as F
 
 from matchloom.operators import filters as R
 from matchloom.operators import quality as Q
-from matchloom.operators.aliases import alias_filter
+from matchloom.operators.aliases import alias_filter, available_leagues
 from matchloom.operators.views import dataset_view
 from matchloom.plans.checks import check, table
 from matchloom.sources.inline import inline_table
 
 
 def urgent_by_customer(spark, sf):
-    """Every customer with each of its urgent orders; null where there is none."""
+    """Every customer with each of its orders; only urgent ones show their key, only urgent and low ones their price."""
     customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    urgent = (
-        table(spark, sf, "orders")
-        .filter("o_orderpriority = '1-URGENT'")
-        .select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
+    priority = F.col("o_orderpriority")
+    orders = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("c_custkey"),
+        F.when(priority == "1-URGENT", F.col("o_orderkey")).alias("o_orderkey"),
+        F.when(priority.isin("1-URGENT", "5-LOW"), F.col("o_totalprice")).alias("o_totalprice"),
     )
-    return customers.join(urgent, "c_custkey", "left")
+    return customers.join(orders, "c_custkey", "left")
 
 
 URGENT = """
     WITH base AS (
-      SELECT c_custkey, c_name, c_mktsegment, o_orderkey, o_totalprice
-      FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT') ON c_custkey = o_custkey
+      SELECT c_custkey, c_name, c_mktsegment, CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey END AS o_orderkey,
+             CASE WHEN o_orderpriority IN ('1-URGENT', '5-LOW') THEN o_totalprice END AS o_totalprice
+      FROM customer LEFT JOIN orders ON c_custkey = o_custkey
     )
 """
 
@@ -177,11 +179,12 @@ def subset_filter(spark, sf):
     "ids_semi",
     """
     SELECT o_orderkey, o_custkey, o_totalprice FROM orders
-    WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50)
+    WHERE o_orderkey IN (SELECT l_partkey FROM lineitem)
     """,
 )
 def ids_semi(spark, sf):
-    ids = table(spark, sf, "lineitem").filter("l_quantity = 50").select(F.col("l_orderkey").alias("o_orderkey"))
+    """Orders whose number is also the number of a part in some order line."""
+    ids = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("o_orderkey"))
     return R.keep_ids(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), ids, "o_orderkey")
 
 
@@ -338,12 +341,16 @@ def norm_dictionary(spark, sf):
 @check(
     "available_keys",
     """
-    SELECT DISTINCT o_orderpriority AS league FROM orders WHERE o_orderstatus = 'P' ORDER BY 1
+    SELECT DISTINCT o_orderpriority AS league FROM orders WHERE o_orderstatus <> 'F' ORDER BY 1
     """,
 )
 def available_keys(spark, sf):
-    orders = table(spark, sf, "orders").filter("o_orderstatus = 'P'")
-    return orders.select(F.col("o_orderpriority").alias("league")).distinct().orderBy("league")
+    """Each order states its priority as a league and, unless it is finished, the name a source has for it."""
+    source = F.when(F.col("o_orderstatus") != "F", "open")
+    settings = F.map_filter(F.create_map(F.coalesce(source, F.lit("none")), "o_orderpriority"), lambda k, v: k != "none")
+    return available_leagues(
+        table(spark, sf, "orders").select(F.col("o_orderpriority").alias("league"), settings.alias("settings")), "open"
+    )
 
 
 @check("topk", "SELECT s_suppkey, s_name, s_acctbal FROM supplier ORDER BY s_acctbal DESC, s_suppkey LIMIT 5")

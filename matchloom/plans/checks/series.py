@@ -137,44 +137,47 @@ def segment_fold(spark, sf):
 # -- ratings --------------------------------------------------------------------------------
 
 
-def purchase_intervals(spark, sf):
-    purchases = table(spark, sf, "events").filter("event_type = 'purchase'").select("user_id", "ts", "value")
-    return V.validity_intervals(purchases, by_user(), "ts").select("user_id", "from", "to", F.col("value").alias("rating"))
+def intervals(events):
+    return V.validity_intervals(events.select("user_id", "ts", "value"), by_user(), "ts").select(
+        "user_id", "from", "to", F.col("value").alias("rating")
+    )
 
 
 _INTERVALS = """
     WITH spans AS (
       SELECT user_id, ts AS "from", lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS "to", value AS rating
-      FROM events WHERE event_type = 'purchase'
+      FROM events {kept}
     )
 """
 
 
 @check(
     "ratings_at_date",
-    _INTERVALS
+    _INTERVALS.format(kept="")
     + """
     SELECT * FROM spans WHERE "from" <= TIMESTAMP '2024-01-15' AND ("to" IS NULL OR "to" > TIMESTAMP '2024-01-15')
     """,
 )
 def ratings_at_date(spark, sf):
-    return V.ratings_at(purchase_intervals(spark, sf), "2024-01-15")
+    return V.ratings_at(intervals(table(spark, sf, "events")), "2024-01-15")
 
 
 @check(
     "interval_join",
-    _INTERVALS
+    _INTERVALS.format(kept="WHERE event_type = 'purchase'")
     + """
     SELECT e.event_id, e.user_id, e.ts, s."from", s."to", s.rating
     FROM events e LEFT JOIN spans s
       ON e.user_id = s.user_id AND e.ts >= s."from" AND (s."to" IS NULL OR e.ts < s."to")
-    WHERE e.event_type = 'error'
+    WHERE e.event_type <> 'purchase'
     """,
 )
 def interval_join(spark, sf):
-    errors = table(spark, sf, "events").filter("event_type = 'error'").select("event_id", "user_id", "ts")
-    spans = store(purchase_intervals(spark, sf), "intervals")
-    return V.interval_join(errors, spans, "user_id", "ts", [W.time_bucket("_time")], ["rating"])
+    """Every purchase rates its user until the next one; all other events look up the rating of their time."""
+    events = table(spark, sf, "events")
+    others = events.filter("event_type <> 'purchase'").select("event_id", "user_id", "ts")
+    spans = store(intervals(events.filter("event_type = 'purchase'")), "intervals")
+    return V.interval_join(others, spans, "user_id", "ts", [W.time_bucket("_time")], ["rating"])
 
 
 @check(

@@ -87,17 +87,18 @@ def month_name(spark, sf):
     "slug_parse",
     """
     SELECT o_orderkey, monthname(o_orderdate) AS month_txt, strftime(o_orderdate, '%Y-%m-%d') AS match_date,
-           'Customer-' || o_custkey || '-Status-' || o_orderstatus AS teams,
+           CASE WHEN o_orderpriority = '5-LOW' THEN 'El-' ELSE '' END || 'Customer-' || o_custkey || '-Status-' || o_orderstatus AS teams,
            'Customer-' || o_custkey || '-Status-' || o_orderstatus AS teams_before_month
     FROM orders
     """,
 )
 def slug_parse(spark, sf):
-    """Writes a match link for every order and takes names and date out of it again."""
+    """Writes a match link for every order and takes names and date out of it again; a team may begin with "El"."""
+    team = F.when(F.col("o_orderpriority") == "5-LOW", "El-Customer-").otherwise("Customer-")
     prefix = F.when(F.col("o_orderstatus") == "P", "El-Clasico-").when(F.col("o_orderstatus") == "O", "El-Gran-Derbi-")
     url = F.concat(
         F.lit("https://example.com/en/matches/"), F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 8), F.lit("/"),
-        F.coalesce(prefix, F.lit("")), F.lit("Customer-"), F.col("o_custkey").cast("string"), F.lit("-Status-"),
+        F.coalesce(prefix, F.lit("")), team, F.col("o_custkey").cast("string"), F.lit("-Status-"),
         F.col("o_orderstatus"), F.date_format("o_orderdate", "-MMMM-d-yyyy"), F.lit("-La-Liga"),
     )
     links = link_parts(table(spark, sf, "orders").select("o_orderkey", url.alias("url")), "url")
