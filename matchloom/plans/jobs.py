@@ -23,6 +23,7 @@ from matchloom.operators.columns import (
     drop_by_suffix,
     drop_columns,
     drop_empty_columns,
+    filled_columns,
     find_column,
     front_columns,
     rename_synonyms,
@@ -43,7 +44,6 @@ from matchloom.operators.quality import name_dictionary
 from matchloom.operators.reshape import set_union, team_match_rows
 from matchloom.operators.series import Series, next_row, number_bucket, segment_records
 from matchloom.operators.splits import two_name_split
-from matchloom.session import store
 from matchloom.sources.pages import cell, player_rows
 
 _ROWS_PER_BUCKET = 100_000
@@ -184,14 +184,23 @@ def player_catalogue(players: DataFrame, teams: DataFrame) -> DataFrame:
     return front_columns(rows, ["player_id", "team_id"])
 
 
+def without_summaries(raw: DataFrame) -> DataFrame:
+    """Player rows without the summary rows of their tables."""
+    player = find_column(raw, "player")
+    return drop_summary_rows(raw, player) if player else raw
+
+
+def without_helpers(rows: DataFrame) -> DataFrame:
+    return drop_by_suffix(drop_columns(rows, ["match_url", "stat_type", "team"]), "_summary")
+
+
 def players_with_match_id(raw: DataFrame, known_teams: DataFrame, name: str = "equipo") -> DataFrame:
     """Player rows with the match id derived from their link; summary rows are left out.
 
     Every distinct link is read once, however many rows it has.
     """
     require_columns(raw, ["match_url"])
-    player = find_column(raw, "player")
-    rows = drop_summary_rows(raw, player) if player else raw
+    rows = without_summaries(raw)
     known = known_teams.select(F.translate(normalize_text(name), " ", "-").alias("slug_name"))
     links = link_parts(raw.select("match_url").distinct(), "match_url")
     links = links.withColumn("slug", F.translate(normalize_text("link_teams"), " ", "-"))
@@ -202,8 +211,7 @@ def players_with_match_id(raw: DataFrame, known_teams: DataFrame, name: str = "e
 
 def normalized_players(rows: DataFrame) -> DataFrame:
     """Player statistics without helper columns, empty columns and blank rows."""
-    kept = drop_by_suffix(drop_columns(rows, ["match_url", "stat_type", "team"]), "_summary")
-    return drop_blank_rows(drop_all_null(drop_empty_columns(kept)))
+    return drop_blank_rows(drop_all_null(drop_empty_columns(without_helpers(rows))))
 
 
 def player_stats_final(rows: DataFrame, players: DataFrame) -> DataFrame:
@@ -215,10 +223,11 @@ def player_stats_final(rows: DataFrame, players: DataFrame) -> DataFrame:
 def player_match_stats(raw: DataFrame, players: DataFrame, known_teams: DataFrame) -> DataFrame:
     """From the raw player rows of match pages to statistics by match id and player id.
 
-    Rows with their match id are stored, since dropping empty columns reads them once more.
+    Which columns are empty is read from the raw rows alone, before anything is joined to them.
     """
-    rows = store(players_with_match_id(raw, known_teams), "players")
-    return player_stats_final(normalized_players(rows), players)
+    needed = {*filled_columns(without_summaries(raw)), "match_url", find_column(raw, "player")}
+    rows = players_with_match_id(raw.select(*[c for c in raw.columns if c in needed]), known_teams)
+    return player_stats_final(drop_blank_rows(drop_all_null(without_helpers(rows))), players)
 
 
 def keeper_stats(tables: DataFrame, basic: Sequence[str], advanced: Sequence[str]) -> DataFrame:

@@ -1,13 +1,15 @@
 """Delimited text files.
 
 Columns are read as text, or with the schema given; nothing is inferred from the data.
-Spark drops a byte order mark and reads quoted fields as one.
+Spark drops a byte order mark and reads quoted fields as one. Files whose quoted fields may hold line
+breaks are read with `line_breaks`; such a file cannot be divided between tasks.
 """
 
 from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -17,28 +19,41 @@ from matchloom.functions.dates import season_code
 from matchloom.operators.columns import merge_headers, null_tokens, union_missing, unique_names
 
 
-def _reader(spark: SparkSession, header: bool) -> DataFrameReader:
-    return spark.read.option("header", header).option("quote", '"').option("escape", '"')
+def _reader(spark: SparkSession, header: bool, line_breaks: bool = False) -> DataFrameReader:
+    return spark.read.option("header", header).option("quote", '"').option("escape", '"').option("multiLine", line_breaks)
 
 
 def _text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def read_typed(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str) -> DataFrame:
-    """File with a header line and known columns; a field that does not fit its type is null."""
-    return _reader(spark, True).schema(schema).option("mode", "PERMISSIVE").csv(path)
+def read_typed(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, line_breaks: bool = False, malformed: str | None = None
+) -> DataFrame:
+    """File with a header line and known columns; a field that does not fit its type is null.
+
+    `malformed` names a further column that shows a row as it is written where it does not fit the
+    schema: a field of another type, too few fields or too many.
+    """
+    reader = _reader(spark, True, line_breaks).option("mode", "PERMISSIVE")
+    if malformed:
+        fields = (T._parse_datatype_string(schema) if isinstance(schema, str) else schema).fields
+        schema = T.StructType([*fields, T.StructField(malformed, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", malformed)
+    return reader.schema(schema).csv(path)
 
 
-def read_text_columns(spark: SparkSession, path: str | Sequence[str], missing_tokens: bool = False) -> DataFrame:
+def read_text_columns(
+    spark: SparkSession, path: str | Sequence[str], missing_tokens: bool = False, line_breaks: bool = False
+) -> DataFrame:
     """File with a header line, every column as text. `missing_tokens` also turns texts like "NA" into nulls."""
-    df = _reader(spark, True).csv(path)
+    df = _reader(spark, True, line_breaks).csv(path)
     return null_tokens(df) if missing_tokens else df
 
 
-def read_headerless(spark: SparkSession, path: str | Sequence[str], names: Sequence[str]) -> DataFrame:
+def read_headerless(spark: SparkSession, path: str | Sequence[str], names: Sequence[str], line_breaks: bool = False) -> DataFrame:
     """File without a header line, every column as text under the given names."""
-    return _reader(spark, False).schema(_text_schema(names)).csv(path)
+    return _reader(spark, False, line_breaks).schema(_text_schema(names)).csv(path)
 
 
 def _first_lines(spark: SparkSession, path: str, n: int) -> list[list[str]]:
@@ -62,14 +77,25 @@ def read_two_headers(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter(~is_line(high) & ~is_line(low))
 
 
+def _header_lines(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
+    """(file, first line) of each file, by name. Only these lines come to the driver."""
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("at"),
+    )
+    # Lines of one block are numbered in order, so the least number of a file's first block is its first line.
+    first = lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    return sorted((unquote(r.path), r.line.removeprefix("\ufeff")) for r in first.collect())
+
+
 def read_seasons(spark: SparkSession, paths: Sequence[str], season_pattern: str = r"(\d{4})(?=[^/]*$)") -> DataFrame:
     """One file per season, put together by column name, with the season's code taken from the file name.
 
-    Files with the same header share one scan.
+    The header lines of all files are read in one job; files with the same header share one scan.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        header = tuple(unique_names([c.strip() for c in _first_lines(spark, path, 1)[0]]))
+    for path, line in _header_lines(spark, paths):
+        header = tuple(unique_names([c.strip() for c in next(csv.reader([line]))]))
         groups.setdefault(header, []).append(path)
     season = season_code(F.regexp_extract(F.col("_metadata.file_path"), season_pattern, 1))
     frames = [

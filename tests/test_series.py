@@ -52,6 +52,27 @@ def got(df, name):
     return {r.i: r[name] for r in df.collect()}
 
 
+def test_totals_of_doubles_do_not_depend_on_the_cut(spark, limit):
+    values = [1e16, 1.0, -1e16, 1.0, 0.1, 0.2]
+    df = spark.createDataFrame([(i, "a", v) for i, v in enumerate(values)], "i int, k string, v double")
+    line = W.Series(["k"], ["i"], [W.number_bucket("i", 2)], limit)
+    with pytest.raises(TypeError, match="decimal"):
+        W.running_total(df, line, F.col("v"), "t")
+    total = W.running_total(df, line, F.col("v").cast("decimal(28,6)"), "t")
+    assert [float(got(total, "t")[i]) for i in range(6)] == [1e16, 1e16 + 1, 1.0, 2.0, 2.1, 2.3]
+
+
+@pytest.mark.parametrize("keys", [0, 1, 2])
+def test_only_the_largest_keys_are_cut(spark, monkeypatch, keys):
+    monkeypatch.setattr(W, "LARGE_KEYS", keys)
+    df = spark.createDataFrame([(i, "abbccc"[i % 6]) for i in range(60)], "i int, k string")
+    line = W.Series(["k"], ["i"], [W.number_bucket("i", 5)], 1)
+    cut = {r.k for r in line.cut(df).filter("_bucket is not null").collect()}
+    assert cut == set("cba"[:keys])
+    numbers = got(W.row_numbers(df, line, "n"), "n")
+    assert [numbers[i] for i in (0, 6, 5, 59)] == [1, 2, 3, 30]
+
+
 def test_running_total_and_numbers(df, data, limit):
     totals, numbers = {}, {}
     for rows in by_key(data).values():

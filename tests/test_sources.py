@@ -53,6 +53,31 @@ def test_season_files(spark, tmp_path, rows):
     ]
 
 
+def test_season_headers_take_one_job(spark, tmp_path, rows):
+    team = ['"Team, home"', "HomeTeam"]
+    paths = [
+        write(tmp_path / f"E {i % 2}-{1950 + i}.csv", f'"Div",{team[i % 2]}\nE0,{i}\n', "utf-8-sig" if i % 3 else "utf-8")
+        for i in range(50)
+    ]
+    spark.sparkContext.setJobGroup("headers", "")
+    lines = C._header_lines(spark, paths)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    spark.sparkContext.setJobGroup("other", "")
+    assert len(lines) == 50 and len(jobs) <= 4  # of one query, listing of the files included
+    df = C.read_seasons(spark, paths)
+    assert sorted(df.columns) == ["Div", "HomeTeam", "Team, home", "season"]
+    assert sorted(int(r["HomeTeam"] or r["Team, home"]) for r in df.collect()) == list(range(50))
+
+
+def test_line_breaks_and_malformed_rows(spark, tmp_path, rows):
+    path = write(tmp_path / "b.csv", 'a,n\n"x\ny",2\n"z ""q""",3\n')
+    assert rows(C.read_typed(spark, path, "a string, n int", line_breaks=True), "a", "n") == [("x\ny", 2), ('z "q"', 3)]
+    assert rows(C.read_text_columns(spark, path, line_breaks=True), "a", "n") == [("x\ny", "2"), ('z "q"', "3")]
+    bad = write(tmp_path / "c.csv", "a,n\nx,2\ny,many\nz\n")
+    found = C.read_typed(spark, bad, "a string, n int", malformed="bad").cache()
+    assert sorted((r.a, r.n, r.bad) for r in found.collect()) == [("x", 2, None), ("y", None, "y,many"), ("z", None, "z")]
+
+
 def test_config_files(spark, tmp_path, rows):
     aliases = write(tmp_path / "names.json", json.dumps({"Celta de Vigo": ["Celta Vigo", "Celta"], "Arsenal": [], "Lazio": ["Lazio"], "SS Lazio": ["Lazio"]}, indent=1))
     found = G.read_aliases(spark, aliases)
