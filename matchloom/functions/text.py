@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import lru_cache
 
 import pandas as pd
@@ -37,6 +37,14 @@ def _ascii_letters() -> tuple[str, str, dict[str, str]]:
     return "".join(single), "".join(single.values()), {char: text for char, text in plain.items() if len(text) > 1}
 
 
+def _any_of(chars: Iterable[str]) -> str:
+    """Pattern of one of the characters; as ranges, since every part of a class is tried on every character."""
+    codes = sorted(map(ord, chars))
+    starts = [c for i, c in enumerate(codes) if i == 0 or codes[i - 1] != c - 1]
+    ends = [c for i, c in enumerate(codes) if i + 1 == len(codes) or codes[i + 1] != c + 1]
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends)) + "]"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -49,7 +57,7 @@ def strip_accents(c: Column | str, hyphens: bool = False) -> Column:
     With `hyphens`, typographic hyphens become "-" instead of vanishing.
     """
     source, target, longer = _ascii_letters()
-    several = "[" + "".join(map(re.escape, longer)) + "]"
+    several = _any_of(longer)
     # Folded into a constant map when the query is planned.
     forms = F.from_json(F.lit(json.dumps(longer)), "map<string,string>")
     if hyphens:

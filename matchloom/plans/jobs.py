@@ -42,7 +42,7 @@ from matchloom.operators.joins import lookup_join, role_join
 from matchloom.operators.links import link_names, link_parts
 from matchloom.operators.quality import name_dictionary
 from matchloom.operators.reshape import set_union, team_match_rows
-from matchloom.operators.series import Series, next_row, number_bucket, segment_records
+from matchloom.operators.series import Series, number_bucket, scan
 from matchloom.operators.splits import two_name_split
 from matchloom.sources.pages import cell, player_rows
 
@@ -80,9 +80,10 @@ def match_records(raw: DataFrame) -> DataFrame:
     A row of two percentages opens a record; under a label stands the row with its values.
     """
     line = Series(["match_url"], ["row_no"], [number_bucket("row_no", _ROWS_PER_BUCKET)])
-    raw = raw.withColumn("opens", is_percent("home") & is_percent("away"))
-    rows = next_row(raw, line, {"next_home": F.col("home"), "next_away": F.col("away")})
-    rows = segment_records(rows, line, F.col("opens"), "record", source=raw)
+    opens = is_percent("home") & is_percent("away")
+    raw = raw.select("match_url", "row_no", "home", "away", opens.alias("opens"))
+    following = {"next_home": F.col("home"), "next_away": F.col("away")}
+    rows = scan(raw, line, following, {"record": F.col("opens").cast("bigint")}).filter("record > 0")
 
     def last_where(condition, value):
         return F.max_by(value, F.when(condition, F.col("row_no")))
