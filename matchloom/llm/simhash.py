@@ -304,13 +304,18 @@ def _with_component(fps: DataFrame, distance: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, words: int = 3, distance: int = 3, seed: int = 42) -> DataFrame:
-    """The documents without all but one of each component, with their columns.
+    """The documents without all but one of each component, with their columns."""
+    fps = store(fingerprints(docs, words, seed), "fingerprints")
+    return keep_least(docs, _with_component(fps, distance))
+
+
+def keep_least(docs: DataFrame, member: DataFrame) -> DataFrame:
+    """One document of each component, given (doc_id, component_id) of all.
 
     The one with the smallest key stays; of rows that share this key, one. Rows without a key can't be
     told apart and stay.
     """
-    fps = store(fingerprints(docs, words, seed), "fingerprints")
-    found = _with_component(fps, distance).filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_n"))
+    found = member.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_n"))
     chosen = store(found, "chosen")
     repeated = chosen.filter("_n > 1").select("doc_id")
     # The chosen keys grow with the documents, so both sides are shuffled at every size. One row per
