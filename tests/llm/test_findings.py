@@ -5,6 +5,7 @@ import re
 import numpy as np
 
 import corpus_pipeline
+from matchloom.llm import quality_rules
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -47,3 +48,21 @@ def test_near_copies_down_to_four_fifths_are_found(spark):
     found = sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, documents(spark, texts), "").collect())
     assert found == sorted({root(k) for k in keys})
     assert len(found) < 0.8 * len(texts)
+
+
+def test_each_quality_statistic_alone_rejects(spark):
+    rng = np.random.default_rng(6)
+    plain = lambda n: [f"word{''.join(rng.choice(list('abcdef'), 4))}" for _ in range(n)]
+    texts = {i: " ".join(plain(150)) for i in range(200)}
+    menu = [f"word{a * 3}{k}" for k in range(10) for a in "ab"]
+    texts[1000] = " ".join(w + "longer" * 6 for w in plain(150))
+    texts[1001] = " ".join(plain(100) + ["#$%&"] * 3 + plain(100) + ["||||||"] * 2)
+    order = rng.integers(0, 20, 200)
+    texts[1002] = "\n".join(menu[k] for k in order)
+    again = plain(22)
+    texts[1003] = " ".join(again + plain(54) + again + plain(54))
+    texts[1004] = " ".join(w.upper() for w in plain(150))
+    found = {r.doc_id: r for r in quality_rules.assess(documents(spark, texts)).collect()}
+    assert [k for k in texts if k >= 1000 and (found[k].kept or found[k].base_failed)] == []
+    assert found[1002].n_repeat_words == 0 and found[1003].n_dup_lines == 0
+    assert all(found[k].kept for k in range(200))
