@@ -4,8 +4,10 @@ import re
 
 import numpy as np
 
+import pytest
+
 import corpus_pipeline
-from matchloom.llm import quality_rules
+from matchloom.llm import packing, quality_rules
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -66,3 +68,12 @@ def test_each_quality_statistic_alone_rejects(spark):
     assert [k for k in texts if k >= 1000 and (found[k].kept or found[k].base_failed)] == []
     assert found[1002].n_repeat_words == 0 and found[1003].n_dup_lines == 0
     assert all(found[k].kept for k in range(200))
+
+
+@pytest.mark.parametrize("text", ["see <|endoftext|> here", "<|endoftext|><|endoftext|> ñ", "<|endoftext|", "none"])
+def test_added_tokens_are_read_as_the_library_does(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.default_encoder()(text).tolist() == library.encode(text, add_special_tokens=False).ids
