@@ -1,10 +1,10 @@
 """Secrets in texts: fixed patterns, and Shannon entropy in windows sliding over candidate strings.
 
-A candidate is a run of token characters. For each character class that its characters allow
-(hexadecimal, letters and digits, or all of base64), a window of fixed width slides along it; counts of
-characters are updated by the one that enters and the one that leaves, so a step costs the same for any
-width. Windows above the entropy limit of the class are joined to a span. An allow list suppresses
-candidates that are known to be harmless.
+A candidate is a run of token characters. Its longest stretches of each character class (hexadecimal in
+either case, letters and digits, all of base64) are looked at on their own: a window of fixed width slides
+along each; counts of characters are updated by the one that enters and the one that leaves, so a step costs
+the same for any width. Windows above the entropy limit of their class are joined to spans. An allow list
+suppresses candidates, and stretches, that are known to be harmless.
 
 Defined results: a null or empty text has no spans; repeated rows are scanned once each; a null key is
 kept; an empty table gives an empty result; other columns are ignored.
@@ -31,6 +31,7 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+STRETCHES = {"hex": re.compile("[0-9a-fA-F]+"), "alnum": re.compile("[A-Za-z0-9]+"), "base64": re.compile("[A-Za-z0-9+/_=-]+")}
 #: Which texts need a closer look; found by a linear-time scan of a whole batch.
 HINT = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{32}|[A-Za-z0-9+/_=-]{20}"
 
@@ -75,28 +76,26 @@ def entropies(text: str, width: int) -> list[float]:
     return found
 
 
-def char_class(text: str) -> str:
-    if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text):
-        return "hex"
-    return "alnum" if text.isalnum() else "base64"
-
-
 def entropy_spans(text: str, scanner: Scanner, allow: re.Pattern) -> list[tuple[str, int, int]]:
-    spans: list[tuple[str, int, int]] = []
+    def harmless(part: str) -> bool:
+        return bool(allow.fullmatch(part)) or not (any(c.isdigit() for c in part) and any(c.isalpha() for c in part))
+
+    windows = []
     for m in CANDIDATE.finditer(text):
-        run = m.group()
-        if allow.fullmatch(run) or not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
+        if harmless(m.group()):
             continue
-        limit, last = scanner.limits[char_class(run)], None
-        for i, bits in enumerate(entropies(run, scanner.width)):
-            if bits < limit:
-                continue
-            start, end = m.start() + i, m.start() + i + scanner.width
-            if last is not None and start <= last[2]:
-                last = spans[-1] = ("entropy", last[1], end)
-            else:
-                last = ("entropy", start, end)
-                spans.append(last)
+        for kind, stretch in STRETCHES.items():
+            for part in stretch.finditer(m.group()):
+                if len(part.group()) < scanner.width or harmless(part.group()):
+                    continue
+                at = m.start() + part.start()
+                windows += [at + i for i, bits in enumerate(entropies(part.group(), scanner.width)) if bits >= scanner.limits[kind]]
+    spans: list[tuple[str, int, int]] = []
+    for start in sorted(windows):
+        if spans and start <= spans[-1][2]:
+            spans[-1] = ("entropy", spans[-1][1], start + scanner.width)
+        else:
+            spans.append(("entropy", start, start + scanner.width))
     return spans
 
 

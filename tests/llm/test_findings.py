@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from matchloom.llm import packing, quality_rules
+from matchloom.llm import packing, quality_rules, secret_scan
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -77,3 +77,13 @@ def test_added_tokens_are_read_as_the_library_does(text):
 
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     assert packing.default_encoder()(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("prefix", ["", "x/", "v1/", "id_"])
+def test_hex_secrets_joined_to_other_characters_are_found_whole(prefix):
+    allow = re.compile("|".join(f"(?:{p})" for p in secret_scan.Scanner().allowed))
+    for secret in ("3f0a9c41d7e25b8860f3", "3F0A9C41D7E25B8860F3A1C9", "3f0A9c41D7e25B8860f3a1C9"):
+        text = f"key {prefix}{secret} end"
+        (span,) = secret_scan.entropy_spans(text, secret_scan.Scanner(), allow)
+        assert span[1] <= 4 + len(prefix) and span[2] == 4 + len(prefix) + len(secret)
+    assert secret_scan.entropy_spans("see x/20240131123456789012345 or path/to/some/file2", secret_scan.Scanner(), allow) == []
