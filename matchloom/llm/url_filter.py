@@ -1,11 +1,13 @@
 """URL filtering: prefix rules, and trust spread over the link graph of hosts.
 
 Rules decide the pages they fit. For all other pages the verdict is that of their host: personalised
-PageRank from hosts that the rules mostly allow gives trust along links; the same from hosts that they
-mostly block gives distrust against the direction of links, since who links to bad hosts is suspect. A host is
-blocked where its distrust, in units of the mean host's share, passes a threshold and its trust by a factor.
+PageRank from hosts with allowed pages gives trust along links; the same from hosts with blocked pages gives
+distrust against the direction of links, since who links to bad hosts is suspect. A host starts with the
+shares of allowed and blocked pages among its pages with a rule, whatever its size. Where one share holds
+the other by a factor, it decides for the host. Any other host is blocked where its distrust passes its trust
+by that factor, and a part of what a wholly blocked host is given each round.
 
-Ranks are whole numbers (`MASS` in total), so sums do not depend on the partitioning. Links are counted
+Ranks are whole numbers (`MASS` for a whole share), so sums do not depend on the partitioning. Links are counted
 per pair of hosts before anything else, so a host with a third of all pages is a few rows; a
 host that very many hosts link to is summed before the shuffle.
 
@@ -27,19 +29,17 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The rules of the contract, as host and path.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 LINK = r"(?is)<a\s[^>]*?href\s*=\s*[\"']?\s*([^\"'\s>]+)"
-MASS = 2**50
+MASS = 2**30
 
 
 @dataclass(frozen=True)
 class Spread:
-    """damping: share that follows links; rounds of propagation; seed: least excess of allowed over
-    blocked pages (or the reverse) among a host's pages that makes it a seed; limit: distrust in
-    shares of the mean host; factor: how often distrust must hold trust."""
+    """damping: share that follows links; rounds of propagation; limit: least distrust, in parts of what
+    a wholly blocked host is given each round; factor: how often distrust must hold trust."""
 
     damping: float = 0.85
     rounds: int = 12
-    seed: float = 0.5
-    limit: float = 1.0
+    limit: float = 0.25
     factor: float = 2.0
 
 
@@ -76,25 +76,20 @@ def links(pages: DataFrame) -> DataFrame:
     return found.filter("src != '' AND dst != '' AND src != dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def seeds(judged: DataFrame, least: float) -> DataFrame:
-    """(host, trust, distrust): weights of the hosts that rules mostly allow or mostly block."""
-    sums = judged.filter("host != ''").groupBy("host").agg(
-        F.count("*").alias("pages"),
-        F.sum(F.when(F.col("rule.verdict") == "allow", 1).when(F.col("rule.verdict") == "block", -1).otherwise(0)).alias("net"),
-    )
-    share = F.col("net") / F.col("pages")
-    return sums.select("host", F.when(share >= least, F.col("net")).otherwise(0).alias("trust"), F.when(share <= -least, -F.col("net")).otherwise(0).alias("distrust"))
+def seeds(judged: DataFrame) -> DataFrame:
+    """(host, trust, distrust): shares of allowed and blocked pages among those with a rule, 0 without any."""
+    verdict = F.col("rule.verdict")
+    shares = (F.coalesce(F.avg(F.when(verdict.isNotNull(), (verdict == v).cast("int"))), F.lit(0.0)).alias(c) for v, c in (("allow", "trust"), ("block", "distrust")))
+    return judged.filter("host != ''").groupBy("host").agg(*shares)
 
 
 def propagate(start: DataFrame, edges: DataFrame, spread: Spread) -> DataFrame:
-    """(host, trust, distrust) after the rounds of personalised PageRank, with `MASS` at the start.
+    """(host, trust, distrust) after the rounds of personalised PageRank, with `MASS` for a whole share.
 
     Both ranks move in one pass: trust along the edges, distrust against them. The state is stored
     every round, since each one reads it twice.
     """
-    sums = start.agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d")).first()
-    scaled = [F.floor(F.col(c) * F.lit(float(MASS)) / F.lit(float(max(1, total or 0)))).cast("long").alias(c) for c, total in (("trust", sums["t"]), ("distrust", sums["d"]))]
-    known = start.select("host", *scaled)
+    known = start.select("host", *(F.floor(F.col(c) * F.lit(float(MASS))).cast("long").alias(c) for c in ("trust", "distrust")))
     linked = edges.select(F.col("src").alias("host")).union(edges.select("dst")).distinct().join(known, "host", "left_anti")
     base = store(known.unionByName(linked.select("host", F.lit(0).cast("long").alias("trust"), F.lit(0).cast("long").alias("distrust"))), "seeds")
     both = edges.select(F.col("src").alias("host"), F.col("dst").alias("to"), "n", F.lit(True).alias("forward"))
@@ -111,12 +106,13 @@ def propagate(start: DataFrame, edges: DataFrame, spread: Spread) -> DataFrame:
     return now
 
 
-def host_verdicts(ranks: DataFrame, spread: Spread) -> DataFrame:
-    """(host, distrusted), by each rank in units of the mean host's."""
-    total = ranks.agg(F.count("*").alias("n"), F.sum("trust").alias("t"), F.sum("distrust").alias("d")).first()
-    unit = lambda c, whole: F.col(c) * F.lit(float(total["n"])) / F.lit(float(max(1, whole or 0)))
-    trust, distrust = unit("trust", total["t"]), unit("distrust", total["d"])
-    return ranks.select("host", ((distrust > spread.limit) & (distrust > spread.factor * trust)).alias("distrusted"))
+def host_verdicts(ranks: DataFrame, start: DataFrame, spread: Spread) -> DataFrame:
+    """(host, distrusted), by the host's own rules where they are clear, else by its ranks."""
+    own = start.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d"))
+    least = spread.limit * (1 - spread.damping) * MASS
+    by_rank = (F.col("distrust") > F.lit(least)) & (F.col("distrust") > spread.factor * F.col("trust"))
+    found = F.when(F.col("d") > spread.factor * F.col("t"), True).when(F.col("t") > spread.factor * F.col("d"), False).otherwise(by_rank)
+    return ranks.join(own, "host", "left").select("host", found.alias("distrusted"))
 
 
 def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, spread: Spread | None = None) -> DataFrame:
@@ -127,7 +123,8 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, spread:
     ruled = own.withColumn("rule", rule_for(F.col("host"), F.col("path"), rules))
     judged = store(ruled.drop("html"), "judged")
     edges = store(links(own), "links")
-    verdicts = host_verdicts(propagate(seeds(judged, spread.seed), edges, spread), spread)
+    start = store(seeds(judged), "shares")
+    verdicts = host_verdicts(propagate(start, edges, spread), start, spread)
     # A row per host on the right; a host with very many pages is split by adaptive execution.
     found = judged.join(verdicts.filter("distrusted"), "host", "left")
     verdict = F.coalesce(F.col("rule.verdict"), F.when(F.col("distrusted"), "block").otherwise("allow"))

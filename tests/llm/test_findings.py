@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from matchloom.llm import packing, quality_rules, secret_scan
+from matchloom.llm import packing, quality_rules, secret_scan, url_filter
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -87,3 +87,12 @@ def test_hex_secrets_joined_to_other_characters_are_found_whole(prefix):
         (span,) = secret_scan.entropy_spans(text, secret_scan.Scanner(), allow)
         assert span[1] <= 4 + len(prefix) and span[2] == 4 + len(prefix) + len(secret)
     assert secret_scan.entropy_spans("see x/20240131123456789012345 or path/to/some/file2", secret_scan.Scanner(), allow) == []
+
+
+def test_a_blocked_host_keeps_its_verdict_beside_large_ones(spark):
+    urls = [f"http://bad.com/de/{i}" for i in range(3)] + [f"http://bad.com/fr/{i}" for i in range(1)] + [f"http://bad.com/x/{i}" for i in range(40)]
+    urls += [f"http://large.com/de/{i}" for i in range(400)] + [f"http://good.com/fr/{i}" for i in range(400)] + ["http://good.com/x", "http://none.net/x"]
+    pages = spark.createDataFrame([(i, u, '<a href="http://bad.com/">' if "good" in u else "") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    found = {r.host + r.path: r.verdict for r in url_filter.judge(pages).collect()}
+    assert {found[f"bad.com/x/{i}"] for i in range(40)} == {"block"}
+    assert found["good.com/x"] == found["none.net/x"] == "allow"
