@@ -9,15 +9,15 @@ order. With a = ceil(share * n), two alike sets share l of their first n - a + l
    shingles count without being shuffled, so no frequent shingle meets in one task.
 2. Each set left joins the least set of those buckets, by its first n - a + 1 shingles, that it shares most
    often. The sets of such a group are compared in a prefix tree, and what is alike gets one label.
-3. In buckets with several labels the first n - a + 1 shingles of the sets are compared in a prefix tree.
-   Sets that may have a partner of another label, for which the bucket is that of the first shingle of
-   both, go on whole, and are compared in a second tree. This finds what the groups have parted.
+3. In buckets with several labels and groups the first n - a + 1 shingles of the sets are compared in a
+   prefix tree. Sets that may have a partner of another label and group, for which the bucket is that of the
+   first shingle of both, go on whole, and are compared in a second tree. This finds what groups have parted.
 
 A prefix tree keeps sets with the same beginning on one path. It is walked once for all sets of its tile:
 the overlaps with the path so far are shared by everything below, and a set leaves a subtree when its
 overlap and what remains of both can't reach the share. Tiles hold at most `BLOCK` sets and `ELEMENTS`
-shingles of each of two blocks, whatever the size of a bucket; within a label nothing is compared again,
-so a large group of near copies costs its size. Only links that join trees of a tile leave it.
+shingles of each of two blocks, whatever the size of a bucket; within a label or a group nothing is compared
+again, so a large group of near copies costs its size. Only links that join trees of a tile leave it.
 
 Defined results: words are split at the six ASCII white space characters; A-Z count as a-z; a null text is
 empty; sets without words are linked with nothing unless `empty_alike`; repeated rows and keys count once
@@ -229,8 +229,8 @@ def ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(size) else size
 
 
-def tree_pairs(paths: list[np.ndarray], n: np.ndarray, label: np.ndarray, share: tuple[int, int], key: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
-    """(i, others): sets of other labels that may be alike to set i, each pair once.
+def tree_pairs(paths: list[np.ndarray], n: np.ndarray, label: np.ndarray, group: np.ndarray, share: tuple[int, int], key: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, others): sets of another label and group that may be alike to set i, each pair once.
 
     `paths` are beginnings of the sets, in the global order; `n` the sizes of the whole sets. Whole
     paths give exactly the alike pairs. With `key`, only pairs whose first common shingle is that one.
@@ -281,7 +281,7 @@ def tree_pairs(paths: list[np.ndarray], n: np.ndarray, label: np.ndarray, share:
         if not active.any():
             continue
         if hi - lo == 1:
-            found = np.flatnonzero(active & (label != label[rank[lo]]))
+            found = np.flatnonzero(active & (label != label[rank[lo]]) & (group != group[rank[lo]]))
             if len(found):
                 yield rank[lo], found
             continue
@@ -319,18 +319,18 @@ def by_tile(rows: DataFrame, keys: list[str], schema: str, work: Callable[[pa.Ta
     return rows.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
-def read_tile(tile: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """(fp, paths, n, label), each set once."""
+def read_tile(tile: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """(fp, paths, n, label, group), each set once."""
     fp, at = np.unique(tile["fp"].to_numpy(), return_index=True)
     paths = tile["path"]
-    return fp, [np.frombuffer(paths[int(i)].as_buffer(), "<u8") for i in at], tile["n"].to_numpy()[at], tile["label"].to_numpy()[at]
+    return fp, [np.frombuffer(paths[int(i)].as_buffer(), "<u8") for i in at], *(tile[c].to_numpy()[at] for c in ("n", "label", "grp"))
 
 
 def tile_links(tiles: DataFrame, keys: list[str], sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Links (u, v) that connect the alike sets of each tile (keys, fp, label) beyond their labels."""
+    """Links (u, v) that connect the alike sets of each tile (keys, fp, label, grp) beyond labels and groups."""
 
     def work(tile: pa.Table) -> list[np.ndarray]:
-        fp, paths, n, label = read_tile(tile)
+        fp, paths, n, label, group = read_tile(tile)
         root = list(range(len(fp)))
 
         def find(i: int) -> int:
@@ -340,7 +340,7 @@ def tile_links(tiles: DataFrame, keys: list[str], sets: DataFrame, share: tuple[
             return i
 
         us, vs = [], []
-        for i, others in tree_pairs(paths, n, label, share) if len(fp) > 1 else ():
+        for i, others in tree_pairs(paths, n, label, group, share) if len(fp) > 1 else ():
             for j in others.tolist():
                 a, b = find(i), find(j)
                 if a != b:
@@ -349,7 +349,7 @@ def tile_links(tiles: DataFrame, keys: list[str], sets: DataFrame, share: tuple[
                     vs.append(fp[j])
         return [np.array(us, "i8"), np.array(vs, "i8")]
 
-    return by_tile(tiles.select(*keys, "fp", "label").join(sets, "fp"), keys, LINKS, work)
+    return by_tile(tiles.select(*keys, "fp", "label", "grp").join(sets, "fp"), keys, LINKS, work)
 
 
 # ---------------------------------------------------------------- groups and buckets
@@ -385,48 +385,59 @@ def dealt(count: Column) -> Column:
 
 
 def group_tiles(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(leader, part, fp, label): each set with the least set of the buckets that it shares most often."""
+    """(leader, part, fp): each set with the least set of the buckets that it shares most often."""
     least = rows.groupBy("key").agg(F.min("fp").alias("leader"), F.max("fp").alias("high")).filter("leader != high")
     often = rows.join(least, "key").filter("fp != leader").groupBy("fp", "leader").count()
     chosen = often.groupBy("fp").agg(F.max_by("leader", F.struct("count", "leader")).alias("leader")).join(sizes, "fp")
     group = chosen.groupBy("leader").agg(blocks(F.count("*"), F.sum("n")).alias("parts"))
     members = chosen.join(group, "leader").select("leader", dealt(F.col("parts")).alias("part"), "fp")
     heads = group.select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("leader").alias("fp"))
-    return members.unionByName(heads).withColumn("label", F.col("fp"))
+    return members.unionByName(heads)
 
 
-def mixed_tiles(rows: DataFrame, sizes: DataFrame, label: DataFrame) -> DataFrame:
-    """(key, low, high, fp, label) of the buckets with several labels, in tiles.
+def settled_groups(tiles: DataFrame) -> DataFrame:
+    """(fp, grp): a tile in which each set was compared; for a leader the first of its own."""
+    name = F.xxhash64("leader", "part")
+    own = F.max(F.when((F.col("fp") == F.col("leader")) & (F.col("part") == 0), name))
+    return tiles.groupBy("fp").agg(F.coalesce(own, F.max(name)).alias("grp"))
 
-    The sets of a bucket's most frequent label meet those of other labels only.
+
+def mixed_tiles(rows: DataFrame, sizes: DataFrame, label: DataFrame, settled: DataFrame) -> DataFrame:
+    """(key, low, high, fp, label, grp) of the buckets with several labels and groups, in tiles.
+
+    The sets of a bucket's largest label or group meet the others only.
     """
-    named = rows.join(label.select(F.col("node").alias("fp"), "component"), "fp", "left").select("key", "fp", F.coalesce("component", "fp").alias("label"))
-    mixed = named.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a != b").select("key")
-    left = store(named.join(mixed, "key", "left_semi").join(sizes, "fp"), "mixed")
-    per_label = left.groupBy("key", "label").agg(F.count("*").alias("c"), F.sum("n").alias("e"))
-    most = per_label.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.max(F.struct("c", "label", "e")).alias("m"), F.sum("c").alias("c"), F.sum("e").alias("e"))
-    plan = most.select("key", "most", blocks(F.col("m.c"), F.col("m.e")).alias("major"), blocks(F.col("c") - F.col("m.c"), F.col("e") - F.col("m.e")).alias("minor"))
-    placed = left.join(plan, "key").withColumn("_major", F.col("label") == F.col("most"))
+    about = sizes.join(label.select(F.col("node").alias("fp"), "component"), "fp", "left").join(settled, "fp", "left")
+    about = about.select("fp", "n", F.coalesce("component", "fp").alias("label"), F.coalesce("grp", F.xxhash64("fp")).alias("grp"))
+    named = rows.join(about, "fp")
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("label", "grp") for f in (F.min, F.max)]
+    mixed = named.groupBy("key").agg(*ends).filter("min_label != max_label AND min_grp != max_grp").select("key")
+    left = store(named.join(mixed, "key", "left_semi").select("key", "fp", "n", "label", "grp"), "mixed")
+    both = left.select("key", "n", F.posexplode(F.array("label", "grp")).alias("kind", "value"))
+    sums = both.groupBy("key", "kind", "value").agg(F.count("*").alias("c"), F.sum("n").alias("e"))
+    most = sums.groupBy("key").agg(F.max(F.struct("c", "kind", "value", "e")).alias("m"), F.sum(F.when(F.col("kind") == 0, F.col("c"))).alias("c"), F.sum(F.when(F.col("kind") == 0, F.col("e"))).alias("e"))
+    plan = most.select("key", "m.kind", "m.value", blocks(F.col("m.c"), F.col("m.e")).alias("major"), blocks(F.col("c") - F.col("m.c"), F.col("e") - F.col("m.e")).alias("minor"))
+    placed = left.join(plan, "key").withColumn("_major", F.col("value") == F.when(F.col("kind") == 0, F.col("label")).otherwise(F.col("grp")))
     placed = placed.withColumn("_block", F.when(F.col("_major"), F.col("minor") + dealt(F.col("major"))).otherwise(dealt(F.col("minor"))))
     partner = F.explode(F.sequence(F.lit(0), F.when(F.col("_major"), F.col("minor")).otherwise(F.col("minor") + F.col("major")) - 1))
     met = placed.withColumn("_other", partner)
-    return met.select("key", F.least("_block", "_other").alias("low"), F.greatest("_block", "_other").alias("high"), "fp", "label")
+    return met.select("key", F.least("_block", "_other").alias("low"), F.greatest("_block", "_other").alias("high"), "fp", "label", "grp")
 
 
 def with_partner(tiles: DataFrame, short: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """The rows of the tiles whose prefix leaves a partner of another label possible there."""
+    """The rows of the tiles whose prefix leaves a partner of another label and group possible there."""
 
     def work(tile: pa.Table) -> list[np.ndarray]:
-        fp, paths, n, label = read_tile(tile)
+        fp, paths, n, label, group = read_tile(tile)
         key, low, high = (tile[c][0].as_py() for c in ("key", "low", "high"))
         keep = np.zeros(len(fp), bool)
-        for i, others in tree_pairs(paths, n, label, share, key % 2**64):
+        for i, others in tree_pairs(paths, n, label, group, share, key % 2**64):
             keep[i] = True
             keep[others] = True
         k = int(keep.sum())
-        return [np.full(k, key), np.full(k, low, "i4"), np.full(k, high, "i4"), fp[keep], label[keep]]
+        return [np.full(k, key), np.full(k, low, "i4"), np.full(k, high, "i4"), fp[keep], label[keep], group[keep]]
 
-    return by_tile(tiles.join(short, "fp"), ["key", "low", "high"], "key long, low int, high int, fp long, label long", work)
+    return by_tile(tiles.join(short, "fp"), ["key", "low", "high"], "key long, low int, high int, fp long, label long, grp long", work)
 
 
 # ---------------------------------------------------------------- results
@@ -436,9 +447,12 @@ def alike_links(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     """Links (u, v) that connect all alike sets of (fp, n, path)."""
     rows = store(prefix_rows(sets, share), "prefixes")
     sizes = sets.select("fp", "n")
-    near = store(tile_links(group_tiles(rows, sizes), ["leader", "part"], sets, share), "group-links")
+    groups = store(group_tiles(rows, sizes), "groups")
+    alone = groups.withColumn("label", F.col("fp")).withColumn("grp", F.col("fp"))
+    near = store(tile_links(alone, ["leader", "part"], sets, share), "group-links")
     label = store(components(near), "labels")
-    tiles = store(with_partner(mixed_tiles(rows, sizes, label), prefixes(sets, share), share), "tiles")
+    mixed = mixed_tiles(rows, sizes, label, settled_groups(groups))
+    tiles = store(with_partner(mixed, prefixes(sets, share), share), "tiles")
     return near.unionByName(tile_links(tiles, ["key", "low", "high"], sets, share))
 
 

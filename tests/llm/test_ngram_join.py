@@ -109,16 +109,16 @@ def test_trees_give_each_pair_once():
             for _ in range(rng.randint(0, 3)):
                 some[rng.randrange(len(some))] = rng.randrange(300)
             paths.append(np.unique(np.array(some, dtype="u8")))
-        n, label = np.array([len(p) for p in paths]), np.array([rng.randrange(6) for _ in paths])
-        pairs = [(i, int(j)) for i, others in ngram_join.tree_pairs(paths, n, label, share) for j in others]
+        n, label, group = (np.array([f(p) for p in paths]) for f in (len, lambda p: rng.randrange(6), lambda p: rng.randrange(9)))
+        pairs = [(i, int(j)) for i, others in ngram_join.tree_pairs(paths, n, label, group, share) for j in others]
         alike = lambda a, b: len(a & b) * share[1] >= len(a | b) * share[0]
         sets = [set(p.tolist()) for p in paths]
-        expected = {frozenset((i, j)) for i in range(len(paths)) for j in range(i) if label[i] != label[j] and alike(sets[i], sets[j])}
+        expected = {frozenset((i, j)) for i in range(len(paths)) for j in range(i) if label[i] != label[j] and group[i] != group[j] and alike(sets[i], sets[j])}
         assert len(pairs) == len(set(map(frozenset, pairs))) and set(map(frozenset, pairs)) == expected
         short = [p[: ngram_join.prefix_size(len(p), share)] for p in paths]
         maybe = []
         for key in {int(x) for p in short for x in p}:
             here = [i for i, p in enumerate(short) if key in p]
-            found = ngram_join.tree_pairs([short[i] for i in here], n[here], label[here], share, key)
+            found = ngram_join.tree_pairs([short[i] for i in here], n[here], label[here], group[here], share, key)
             maybe += [frozenset((here[i], here[int(j)])) for i, others in found for j in others]
         assert len(maybe) == len(set(maybe)) and expected <= set(maybe)
