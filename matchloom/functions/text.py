@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from functools import lru_cache
 
 import pandas as pd
@@ -37,14 +37,6 @@ def _ascii_letters() -> tuple[str, str, dict[str, str]]:
     return "".join(single), "".join(single.values()), {char: text for char, text in plain.items() if len(text) > 1}
 
 
-def _any_of(chars: Iterable[str]) -> str:
-    """Pattern of one of the characters; as ranges, since every part of a class is tried on every character."""
-    codes = sorted(map(ord, chars))
-    starts = [c for i, c in enumerate(codes) if i == 0 or codes[i - 1] != c - 1]
-    ends = [c for i, c in enumerate(codes) if i + 1 == len(codes) or codes[i + 1] != c + 1]
-    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends)) + "]"
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -52,29 +44,34 @@ def _col(c: Column | str) -> Column:
 def strip_accents(c: Column | str, hyphens: bool = False) -> Column:
     """Letters without their accents; what has no ASCII form is dropped.
 
-    Texts with ligatures, fractions and other characters that turn into several letters take a
-    second look-up, character by character; all others are translated in one pass.
+    Characters of one letter are translated in one pass. What is left of other alphabets, ligatures,
+    fractions and the like is looked up by code point, at the same cost for each of them.
     With `hyphens`, typographic hyphens become "-" instead of vanishing.
     """
     source, target, longer = _ascii_letters()
-    several = _any_of(longer)
-    # Folded into a constant map when the query is planned.
-    forms = F.from_json(F.lit(json.dumps(longer)), "map<string,string>")
+    rows: list[list[str] | None] = [None] * (0x20000 >> 8)
+    for char, form in longer.items():
+        row, at = divmod(ord(char), 256)
+        rows[row] = rows[row] or [""] * 256
+        rows[row][at] = form
+    # Folded into a constant when the query is planned.
+    forms = F.from_json(F.lit(json.dumps(rows)), "array<array<string>>")
     if hyphens:
         kept = [(s, t) for s, t in zip(source, target) if s not in _HYPHENS]
         source = "".join(s for s, _ in kept) + _HYPHENS
         target = "".join(t for _, t in kept) + "-" * len(_HYPHENS)
+    is_ascii = lambda text: F.octet_length(text) == F.length(text)
 
-    def spelled_out(text: Column) -> Column:
-        each = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-        return F.array_join(F.transform(each, lambda char: F.coalesce(F.element_at(forms, char), char)), "")
+    def form(part: Column) -> Column:
+        code = F.ascii(part)
+        known = F.get(F.get(forms, F.shiftright(code, 8)), code.bitwiseAND(F.lit(255)))
+        return F.when(is_ascii(part), part).otherwise(F.coalesce(known, F.lit("")))
 
-    def plain(text: Column) -> Column:
-        whole = F.when(text.rlike(several), spelled_out(text)).otherwise(text)
-        letters = F.regexp_replace(F.translate(whole, source, target), r"[^\x00-\x7F]+", "")
-        return F.when(F.octet_length(text) == F.length(text), text).otherwise(letters)
+    def spelled_out(text: Column) -> Column:
+        parts = F.regexp_extract_all(text, F.lit(r"[\x00-\x7F]++|[^\x00-\x7F]"), F.lit(0))
+        return F.when(is_ascii(text), text).otherwise(F.array_join(F.transform(parts, form), ""))
 
-    return once(c, plain)
+    return once(c, lambda text: F.when(is_ascii(text), text).otherwise(once(F.translate(text, source, target), spelled_out)))
 
 
 @F.pandas_udf(T.StringType())

@@ -110,10 +110,20 @@ def uncomment_html(spark, sf):
     return table(spark, sf, "pages").select("page_id", B.uncomment_html("html").alias("html"))
 
 
-@check("uncomment_tables", "SELECT page_id, html FROM pages")
+@check(
+    "uncomment_tables",
+    """
+    SELECT page_id, ' <TABLE><tr></tr></Table> <!-- note --> &lt;Table x &lt;/TABLE&gt; ' || page_id || ' <table></table>' || html AS html
+    FROM pages
+    """,
+)
 def uncomment_tables(spark, sf):
-    """No comment of these pages holds a table, so all of them stay."""
-    return table(spark, sf, "pages").select("page_id", B.uncomment_tables("html").alias("html"))
+    """Comments with tables in either case, plain and escaped, in front of each page; its own hold none and stay."""
+    front = F.concat(
+        F.lit("<!-- <TABLE><tr></tr></Table> --><!-- note --><!-- &lt;Table x &lt;/TABLE&gt; -->"),
+        F.col("page_id").cast("string"), F.lit("<!-- <table></table>-->"),
+    )
+    return table(spark, sf, "pages").select("page_id", B.uncomment_tables(F.concat(front, "html")).alias("html"))
 
 
 # -- tables ---------------------------------------------------------------------------------
@@ -224,7 +234,8 @@ def table_by_id(spark, sf):
 def details_of_matches(spark, sf):
     """One page per order: status F with a full score box, O without a score, P without a box.
 
-    Every tenth box lacks the second team, while a linked name stands behind the box.
+    Every tenth box lacks the second team, while a linked name stands behind the box. What stands in front
+    of the date is nested 3 or 30 deep.
     """
     lit, col = F.lit, F.col
 
@@ -242,6 +253,7 @@ def details_of_matches(spark, sf):
         lit('<div id="top" class="scorebox">'),
         team("Customer ", col("o_custkey").cast("string"), F.month("o_orderdate")),
         F.when(col("o_orderkey") % 10 == 0, lit("")).otherwise(second),
+        F.when(col("o_orderkey") % 3 == 0, lit("<div>" * 30 + "x" + "</div>" * 30)).otherwise(lit("<div>" * 3 + "</DIV >" * 3)),
         lit('<div class="scorebox_meta"><div><b>'), F.date_format("o_orderdate", "yyyy-MM-dd"),
         lit("</b></div><div>Venue</div></div></div>"),
     )
