@@ -38,6 +38,9 @@ TEAM_ID_PREFIX, TEAM_ID_DIGITS = "TEAM-", 8
 PLAYER_ID_PREFIX, PLAYER_ID_DIGITS = "PLY-", 10
 MATCH_ID_DIGITS = 12
 
+# Blocks of a match page that hold the statistics of both sides, in this order.
+TEAM_BLOCKS = ("team_stats", "team_stats_extra")
+
 # Texts in a player column that name no player.
 PLAYER_SENTINELS = ("", "Player", "Starting XI", "Bench")
 

@@ -23,6 +23,8 @@ from matchloom.functions.fixed_values import (
 )
 
 _HYPHENS = "".join(map(chr, range(0x2010, 0x2016)))
+# Code points looked up together.
+_CODES = 64
 _NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 
 
@@ -49,13 +51,12 @@ def strip_accents(c: Column | str, hyphens: bool = False) -> Column:
     With `hyphens`, typographic hyphens become "-" instead of vanishing.
     """
     source, target, longer = _ascii_letters()
-    rows: list[list[str] | None] = [None] * (0x20000 >> 8)
+    rows: list[dict[str, str] | None] = [None] * (0x20000 // _CODES)
     for char, form in longer.items():
-        row, at = divmod(ord(char), 256)
-        rows[row] = rows[row] or [""] * 256
-        rows[row][at] = form
-    # Folded into a constant when the query is planned.
-    forms = F.from_json(F.lit(json.dumps(rows)), "array<array<string>>")
+        row = ord(char) // _CODES
+        rows[row] = (rows[row] or {}) | {char: form}
+    # Folded into a constant when the query is planned. Its maps are small, since a map is searched from its start.
+    forms = F.from_json(F.lit(json.dumps(rows)), "array<map<string,string>>")
     if hyphens:
         kept = [(s, t) for s, t in zip(source, target) if s not in _HYPHENS]
         source = "".join(s for s, _ in kept) + _HYPHENS
@@ -63,8 +64,7 @@ def strip_accents(c: Column | str, hyphens: bool = False) -> Column:
     is_ascii = lambda text: F.octet_length(text) == F.length(text)
 
     def form(part: Column) -> Column:
-        code = F.ascii(part)
-        known = F.get(F.get(forms, F.shiftright(code, 8)), code.bitwiseAND(F.lit(255)))
+        known = F.element_at(F.get(forms, (F.ascii(part) / _CODES).cast("int")), part)
         return F.when(is_ascii(part), part).otherwise(F.coalesce(known, F.lit("")))
 
     def spelled_out(text: Column) -> Column:
