@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import struct
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -75,6 +78,38 @@ def with_column(df: DataFrame, text: str, name: str, kind: str, make: Callable[[
     return df.mapInArrow(run, schema)
 
 
+#: Columns of documents that stages read by name.
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keeps_columns(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A stage on documents, shielded from other columns whose names clash with its own or each other.
+
+    Inside the stage these bear neutral names; the result has all columns of the input, in their order.
+    """
+
+    @wraps(stage)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        names = [c if c in OWN and c not in docs.columns[:i] else f"user_{i}" for i, c in enumerate(docs.columns)]
+        return stage(docs.toDF(*names), *args, **options).select(*names).toDF(*docs.columns)
+
+    return run
+
+
+class Spans:
+    """Which stretches of a text are taken by spans (kind, start, end)."""
+
+    def __init__(self, spans: Iterable[tuple[str, int, int]]) -> None:
+        taken = sorted((s, e) for _, s, e in spans)
+        self.starts = [s for s, _ in taken]
+        self.ends = list(accumulate((e for _, e in taken), max))
+
+    def meet(self, start: int, end: int) -> bool:
+        """Whether any span reaches into the stretch."""
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.ends[before - 1] > start
+
+
 def span_text(spans: Iterable[tuple[str, int, int]], order: list[str]) -> str:
     """Spans as kind:start:end, by start, then by the place of the kind in `order`."""
     rank = {k: i for i, k in enumerate(order)}

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import keyed_text, map_rows, sha256, span_text, with_column
+from matchloom.llm.common import Spans, keeps_columns, keyed_text, map_rows, sha256, span_text, with_column
 from matchloom.llm.tagger import Tagger
 from matchloom.session import store
 
@@ -217,7 +218,7 @@ def reconcile(candidates: list[tuple[str, int, int, float]]) -> list[tuple[str,
     ends = [s[2] for s in spans]
     total, take = [0.0], []
     for i, s in enumerate(spans):
-        free = int(np.searchsorted(ends[:i], s[1], side="right"))
+        free = bisect_right(ends, s[1], 0, i)
         take.append((total[free] + best[s] > total[i], free))
         total.append(max(total[i], total[free] + best[s]))
     chosen, i = [], len(spans)
@@ -269,10 +270,10 @@ class Finder:
         out = []
         for text, more in zip(near, added, strict=True):
             base = base_spans(text) if text else []
-            extra = []
+            extra, taken = [], Spans(base)
             for kind, s, e in reconcile(more):
                 alone = not (text[s - 1 : s].isalnum() or text[e : e + 1].isalnum())
-                if alone and plausible(kind, text[s:e]) and all(e <= b[1] or b[2] <= s for b in base):
+                if alone and plausible(kind, text[s:e]) and not taken.meet(s, e):
                     extra.append((kind, s, e))
             out.append((base, base + extra))
         return out
@@ -336,6 +337,7 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
+@keeps_columns
 def redact_documents(docs: DataFrame, finder: Finder) -> DataFrame:
     """All documents with their columns, personal data in their texts replaced; null texts stay null."""
 

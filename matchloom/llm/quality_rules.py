@@ -21,6 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from matchloom.llm.common import keeps_columns
 from matchloom.session import store
 
 #: Patterns of the contract.
@@ -277,6 +278,7 @@ def assess(docs: DataFrame) -> DataFrame:
     return judge(measured).select("doc_id", *counts, base_failed(q).alias("base_failed"), F.col("__kept").alias("kept"))
 
 
+@keeps_columns
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass, with all their columns. The measured documents are stored once."""
     measured = store(measure(docs), "quality")

@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from matchloom.llm.common import keyed_text, map_rows, sha256, span_text
+from matchloom.llm.common import Spans, keyed_text, map_rows, sha256, span_text
 
 #: The kinds and their patterns.
 KINDS = ["assign", "access", "hex", "entropy"]
@@ -108,7 +108,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def scan_text(text: str, scanner: Scanner, allow: re.Pattern) -> tuple[list, list]:
     """Spans of the fixed patterns, and all spans; added ones that touch a fixed one are left out."""
     base = base_spans(text)
-    added = [s for s in entropy_spans(text, scanner, allow) if all(s[2] <= b[1] or b[2] <= s[1] for b in base)]
+    taken = Spans(base)
+    added = [s for s in entropy_spans(text, scanner, allow) if not taken.meet(s[1], s[2])]
     return base, base + added
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import keyed_text, map_rows, with_column
+from matchloom.llm.common import keeps_columns, keyed_text, map_rows, with_column
 from matchloom.session import store
 
 POSITIVES = 3000
@@ -198,6 +198,7 @@ def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@keeps_columns
 def keep_clean(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """The documents that aren't predicted to be toxic, with their columns."""
     return with_column(docs, "text", "__toxicity", "double", classifier.scorer).filter("__toxicity < 0.5").drop("__toxicity")
