@@ -1,17 +1,21 @@
 """Quality rules: fixed counts, and robust multivariate outliers per language and source.
 
 Each document gets a vector of transformed statistics. Per language and source the mean and covariance
-of the least scattered part of the vectors (minimum covariance determinant) are found by concentration
-steps: measure all vectors by the present estimate, keep the nearest three quarters, estimate again. A
-document too far away in the Mahalanobis distance is rejected. Only DataFrame functions are used.
+of the least scattered part of the vectors (minimum covariance determinant) are sought by concentration
+steps from two starts: measure all vectors by the present estimate, keep the nearest three quarters,
+estimate again, until the determinants stand; the start with the smaller determinant wins. The same is done
+per language and for all rows. Each estimate is mixed with that of the next wider level, with the weight of
+PRIOR rows there: a group of a million rows speaks for itself, a lone document is judged by its language,
+and there is no size at which the rule changes. A document too far away in the Mahalanobis distance is
+rejected. Only DataFrame functions are used.
 
 Vectors are whole multiples of 1 / UNIT and sums are of whole numbers, so results do not depend on the
 partitioning. Distances are counted in classes per group instead of being sorted, so a source that
 holds a third of all rows costs its group a bounded table: partial aggregation comes before each shuffle.
 
 Defined results: a null or empty text has no words and fails the fixed rules; null languages or sources
-form groups of their own; groups below MIN_GROUP documents are pooled by language; repeated rows
-are judged once each; an empty table gives an empty result; other columns stay, whatever their names.
+form groups of their own; a group of one document is judged mostly by its language, a language of one
+document mostly by all; repeated rows are judged once each; an empty table gives an empty result; other columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,11 +37,13 @@ MIN_WORDS = 20
 REPEAT_PERCENT = 30
 
 UNIT = 256
-#: Rows from which a language and source have estimates of their own.
-MIN_GROUP = 64
+#: Rows that the estimate of the next wider level counts for.
+PRIOR = 64
 #: Share of the rows of a group that the estimates come from.
 KEPT = 0.75
-STEPS = 3
+#: Concentration steps end when no determinant changes by more than TOLERANCE (of its logarithm), or after STEPS.
+STEPS = 6
+TOLERANCE = 0.01
 #: Least standard deviation of each statistic: length of words, symbols, repeated lines, repeated
 #: words, capitals. Clean groups hardly vary in most of them.
 FLOORS = (0.06, 0.4, 1.1, 0.85, 0.3)
@@ -169,19 +175,27 @@ def consistency(kept: float, d: int) -> float:
 # ---------------------------------------------------------------- estimates
 
 GROUP = ["g_lang", "g_source"]
+TRIAL = [*GROUP, "start"]
+#: Stands for all sources of a language, and for all languages. Other keys have a mark of their own before them.
+ALL = "+"
+PAIRS = [(i, j) for i in range(D) for j in range(i + 1)]
+MEANS, COVARIANCES = [f"mean{i}" for i in range(D)], [f"c{i}{j}" for i, j in PAIRS]
 
 
-def with_group(measured: DataFrame, name: str, min_group: int) -> DataFrame:
-    """Adds the group of each row and its vector x0, x1, ...; small groups are pooled by language.
+def with_group(measured: DataFrame, name: str) -> DataFrame:
+    """Adds the group of each row and its vector x0, x1, ...
 
     Languages and sources come in as texts with a leading mark, so nulls are groups like others.
     """
     key = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in ("lang", "source")]
-    rows = measured.select(key[0].alias("_l"), key[1].alias("_s"), "*")
-    sizes = rows.groupBy("_l", "_s").agg(F.count("*").alias("_n"))
-    named = sizes.select("_l", "_s", F.col("_l").alias("g_lang"), F.when(F.col("_n") >= min_group, F.col("_s")).otherwise("+").alias("g_source"))
-    named = store(named, "groups")
-    return rows.join(named, ["_l", "_s"]).drop("_l", "_s").withColumns({f"__x{i}": x for i, x in enumerate(vector(F.col(name)))})
+    return measured.select(key[0].alias("g_lang"), key[1].alias("g_source"), "*").withColumns({f"__x{i}": x for i, x in enumerate(vector(F.col(name)))})
+
+
+def levels(rows: DataFrame) -> DataFrame:
+    """Each row in its group, in its language and among all."""
+    of = [F.struct(F.col("g_lang") if wide < 2 else F.lit(ALL), F.col("g_source") if wide < 1 else F.lit(ALL)) for wide in range(3)]
+    named = [s.cast("struct<g_lang:string,g_source:string>") for s in of]
+    return rows.withColumn("__level", F.explode(F.array(*named))).withColumns({c: F.col(f"__level.{c}") for c in GROUP}).drop("__level")
 
 
 def floor_moment(i: int, j: int) -> float:
@@ -189,18 +203,62 @@ def floor_moment(i: int, j: int) -> float:
     return FLOORS[i] * FLOORS[j] * (1.0 if i == j else FLOOR_CORRELATION.get((i, j), 0.0))
 
 
-def start(rows: DataFrame) -> DataFrame:
-    """Per group the median of each statistic, and its spread between the quartiles as a diagonal."""
+def moment_sums() -> list[Column]:
+    """Number of rows, sums and sums of products of vectors."""
+    products = [F.sum(F.col(f"__x{i}") * F.col(f"__x{j}")).alias(f"p{i}{j}") for i, j in PAIRS]
+    return [F.count("*").alias("n"), *(F.sum(f"__x{i}").alias(f"s{i}") for i in range(D)), *products]
+
+
+SUMS = ["n", *(f"s{i}" for i in range(D)), *(f"p{i}{j}" for i, j in PAIRS)]
+
+
+def from_sums(summed: DataFrame, keys: list[str], scale: float) -> DataFrame:
+    """Mean and covariance from such sums; `all` is the number of rows of the group."""
+    mean = {f"mean{i}": F.col(f"s{i}") / F.col("n") / UNIT for i in range(D)}
+    cov = {}
+    for i, j in PAIRS:
+        moment = F.col(f"p{i}{j}") / F.col("n") / UNIT**2 - F.col(f"mean{i}") * F.col(f"mean{j}")
+        cov[f"c{i}{j}"] = moment * scale + floor_moment(i, j)
+    return summed.withColumns(mean).select(*keys, "all", *mean, *(c.alias(n) for n, c in cov.items()))
+
+
+def starts(rows: DataFrame) -> DataFrame:
+    """Two starts per group: the medians with the spread between the quartiles as a diagonal, and the moments of all rows.
+
+    Values are counted per language and source before the wider levels are made of the counts.
+    """
     each = rows.select(*GROUP, F.posexplode(F.array(*(F.col(f"__x{i}") for i in range(D)))).alias("i", "x"))
     counts = each.groupBy(*GROUP, "i", "x").agg(F.count("*").alias("n"))
+    counts = levels(counts).groupBy(*GROUP, "i", "x").agg(F.sum("n").alias("n"))
     whole = Window.partitionBy(*GROUP, "i")
     upto = counts.withColumn("upto", F.sum("n").over(whole.orderBy("x"))).withColumn("all", F.sum("n").over(whole))
     at = {q: F.min(F.when(F.col("upto") * 4 >= F.col("all") * q, F.col("x"))) for q in (1, 2, 3)}
     spread = (at[3] - at[1]) / (1.349 * UNIT)
-    found = upto.groupBy(*GROUP, "i").agg((at[2] / UNIT).alias("mean"), spread.alias("spread"))
-    one = found.groupBy(*GROUP).agg(*(F.max(F.when(F.col("i") == i, F.col(c))).alias(f"{c}{i}") for i in range(D) for c in ("mean", "spread")))
-    cov = {f"c{i}{j}": F.pow(F.col(f"spread{i}"), 2) + floor_moment(i, j) if i == j else F.lit(floor_moment(i, j)) for i in range(D) for j in range(i + 1)}
-    return one.select(*GROUP, *(F.col(f"mean{i}") for i in range(D)), *(c.alias(n) for n, c in cov.items()))
+    found = upto.groupBy(*GROUP, "i").agg((at[2] / UNIT).alias("mean"), spread.alias("spread"), F.max("all").alias("all"))
+    one = found.groupBy(*GROUP).agg(F.max("all").alias("all"), *(F.max(F.when(F.col("i") == i, F.col(c))).alias(f"{c}{i}") for i in range(D) for c in ("mean", "spread")))
+    cov = [(F.pow(F.col(f"spread{i}"), 2) + floor_moment(i, j) if i == j else F.lit(floor_moment(i, j))).alias(f"c{i}{j}") for i, j in PAIRS]
+    robust = one.select(*GROUP, F.lit(0).alias("start"), "all", *MEANS, *cov)
+    summed = levels(rows.groupBy(*GROUP).agg(*moment_sums())).groupBy(*GROUP).agg(*(F.sum(c).alias(c) for c in SUMS))
+    plain = from_sums(summed.select(*GROUP, F.lit(1).alias("start"), F.col("n").alias("all"), *SUMS), TRIAL, 1.0)
+    return robust.unionByName(plain)
+
+
+def mixed(raw: DataFrame) -> DataFrame:
+    """Estimates of languages mixed with that of all rows, and of groups with those mixed ones.
+
+    The table has two rows per group; it is stored.
+    """
+    values = [*MEANS, *COVARIANCES]
+
+    def mix(inner: DataFrame, outer: DataFrame, keys: list[str]) -> DataFrame:
+        own = F.col("all") / (F.col("all") + PRIOR)
+        wide = outer.select(*keys, *(F.col(v).alias(f"wide_{v}") for v in values))
+        return inner.join(wide, keys).select(*TRIAL, "all", *((own * F.col(v) + (1 - own) * F.col(f"wide_{v}")).alias(v) for v in values))
+
+    top = raw.filter(F.col("g_lang") == ALL)
+    languages = mix(raw.filter((F.col("g_lang") != ALL) & (F.col("g_source") == ALL)), top, ["start"])
+    groups = mix(raw.filter(F.col("g_source") != ALL), languages, ["g_lang", "start"])
+    return top.select(*TRIAL, "all", *values).unionByName(languages).unionByName(groups)
 
 
 def factor(estimates: DataFrame) -> DataFrame:
@@ -213,7 +271,8 @@ def factor(estimates: DataFrame) -> DataFrame:
             dot = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
             rest[f"l{i}{j}"] = (F.col(f"c{i}{j}") - dot) / F.col(f"l{j}{j}")
         estimates = estimates.withColumns(rest) if rest else estimates
-    return estimates.select(*GROUP, *(F.col(f"mean{i}") for i in range(D)), *(F.col(f"l{i}{j}") for i in range(D) for j in range(i + 1)))
+    size = sum((2 * F.log(F.col(f"l{i}{i}")) for i in range(D)), F.lit(0.0))
+    return estimates.select(*TRIAL, *MEANS, *(F.col(f"l{i}{j}") for i, j in PAIRS), size.alias("log_det"))
 
 
 def distance(row: Column | None = None) -> Column:
@@ -229,39 +288,40 @@ def distance(row: Column | None = None) -> Column:
 
 
 def concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Estimates from the nearest KEPT of each group; ties in the last distance class all count."""
-    pairs = [(i, j) for i in range(D) for j in range(i + 1)]
-    ranked = rows.join(estimates, GROUP).withColumn("near", F.floor(F.log1p(distance()) * 64))
-    sums = [F.count("*").alias("n"), *(F.sum(f"__x{i}").alias(f"s{i}") for i in range(D)), *(F.sum(F.col(f"__x{i}") * F.col(f"__x{j}")).alias(f"p{i}{j}") for i, j in pairs)]
-    classes = ranked.groupBy(*GROUP, "near").agg(*sums)
-    whole = Window.partitionBy(*GROUP)
+    """Moments of the nearest KEPT of each group and start; ties in the last distance class all count."""
+    ranked = levels(rows).join(estimates, GROUP).withColumn("near", F.floor(F.log1p(distance()) * 64))
+    classes = ranked.groupBy(*TRIAL, "near").agg(*moment_sums())
+    whole = Window.partitionBy(*TRIAL)
     before = F.coalesce(F.sum("n").over(whole.orderBy("near").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     inner = classes.withColumn("before", before).withColumn("all", F.sum("n").over(whole)).filter(F.col("before") < F.ceil(F.col("all") * KEPT))
-    total = inner.groupBy(*GROUP).agg(F.max("all").alias("all"), F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in [f"s{i}" for i in range(D)] + [f"p{i}{j}" for i, j in pairs]))
-    mean = {f"mean{i}": F.col(f"s{i}") / F.col("n") / UNIT for i in range(D)}
-    scale = consistency(KEPT, D)
-    cov = {}
-    for i, j in pairs:
-        moment = F.col(f"p{i}{j}") / F.col("n") / UNIT**2 - F.col(f"mean{i}") * F.col(f"mean{j}")
-        cov[f"c{i}{j}"] = moment * scale + floor_moment(i, j)
-    return total.withColumns(mean).select(*GROUP, *mean, *(c.alias(n) for n, c in cov.items()))
+    total = inner.groupBy(*TRIAL).agg(F.max("all").alias("all"), *(F.sum(c).alias(c) for c in SUMS))
+    return from_sums(total, TRIAL, consistency(KEPT, D))
+
+
+def change(old: DataFrame, new: DataFrame) -> float:
+    """The largest change of a logarithm of a determinant."""
+    pairs = old.select(*TRIAL, F.col("log_det").alias("old")).join(new, TRIAL)
+    return pairs.agg(F.coalesce(F.max(F.abs(F.col("log_det") - F.col("old"))), F.lit(0.0))).first()[0]
 
 
 def estimate(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Mean and Cholesky factor of each group after so many concentration steps.
+    """Mean and Cholesky factor of each group, from the start with the least determinant.
 
-    The table has one row per group; it is stored after each step.
+    The tables have a few rows per group; each is stored, as the next step reads it several times.
     """
     rows = rows.select(*GROUP, *(f"__x{i}" for i in range(D)))
-    now = store(factor(start(rows)), "estimates")
+    now = store(factor(mixed(store(starts(rows), "moments"))), "estimates")
     for _ in range(steps):
-        now = store(factor(concentrate(rows, now)), "estimates")
-    return now
+        last, now = now, store(factor(mixed(store(concentrate(rows, now), "moments"))), "estimates")
+        if change(last, now) <= TOLERANCE:
+            break
+    best = now.groupBy(*GROUP).agg(F.min_by(F.struct(*now.columns), F.struct("log_det", "start")).alias("best"))
+    return best.select(*GROUP, *(F.col(f"best.{c}") for c in now.columns if c not in [*TRIAL, "log_det"]))
 
 
-def judge(measured: DataFrame, name: str = "__quality", min_group: int = MIN_GROUP, tail: float = TAIL) -> DataFrame:
+def judge(measured: DataFrame, name: str = "__quality", tail: float = TAIL) -> DataFrame:
     """Stored, measured rows with `__distance` (squared) and `__kept`."""
-    rows = with_group(measured, name, min_group)
+    rows = with_group(measured, name)
     # Groups are few beside the rows; Spark broadcasts them below its own size limit and otherwise
     # shuffles, splitting large groups.
     judged = rows.join(estimate(rows), GROUP).withColumn("__distance", distance())

@@ -2,10 +2,11 @@
 
 Rules decide the pages they fit. For all other pages the verdict is that of their host: personalised
 PageRank from hosts with allowed pages gives trust along links; the same from hosts with blocked pages gives
-distrust against the direction of links, since who links to bad hosts is suspect. A host starts with the
-shares of allowed and blocked pages among its pages with a rule, whatever its size. Where one share holds
-the other by a factor, it decides for the host. Any other host is blocked where its distrust passes its trust
-by that factor, and a part of what a wholly blocked host is given each round.
+distrust against the direction of links, since who links to bad hosts is suspect. The seed of a host are the
+shares of allowed and blocked pages among its pages with a rule, whatever its size. A host takes trust from
+others only as far as its own pages are not blocked, and distrust as far as they are not allowed. Whatever
+is not taken, or reaches a host without links, goes back to the seeds, so no rank is lost. A host is blocked
+where its distrust passes its trust by a factor, and a part of what a wholly blocked host is given each round.
 
 Ranks are whole numbers (`MASS` for a whole share), so sums do not depend on the partitioning. Links are counted
 per pair of hosts before anything else, so a host with a third of all pages is a few rows; a
@@ -40,7 +41,7 @@ class Spread:
     damping: float = 0.85
     rounds: int = 12
     limit: float = 0.25
-    factor: float = 2.0
+    factor: float = 1.5
 
 
 def after_scheme(url: Column) -> Column:
@@ -86,33 +87,41 @@ def seeds(judged: DataFrame) -> DataFrame:
 def propagate(start: DataFrame, edges: DataFrame, spread: Spread) -> DataFrame:
     """(host, trust, distrust) after the rounds of personalised PageRank, with `MASS` for a whole share.
 
-    Both ranks move in one pass: trust along the edges, distrust against them. The state is stored
-    every round, since each one reads it twice.
+    Both ranks move in one pass: trust along the edges, distrust against them. What hosts take is stored
+    every round; its two sums, all that the driver sees, tell how much goes back to the seeds. Without
+    edges the seeds are the ranks.
     """
-    known = start.select("host", *(F.floor(F.col(c) * F.lit(float(MASS))).cast("long").alias(c) for c in ("trust", "distrust")))
+    ways = ("trust", "distrust")
+    known = start.select("host", *(F.floor(F.col(c) * F.lit(float(MASS))).cast("long").alias(c) for c in ways))
     linked = edges.select(F.col("src").alias("host")).union(edges.select("dst")).distinct().join(known, "host", "left_anti")
-    base = store(known.unionByName(linked.select("host", F.lit(0).cast("long").alias("trust"), F.lit(0).cast("long").alias("distrust"))), "seeds")
+    base = store(known.unionByName(linked.select("host", *(F.lit(0).cast("long").alias(c) for c in ways))), "seeds")
     both = edges.select(F.col("src").alias("host"), F.col("dst").alias("to"), "n", F.lit(True).alias("forward"))
     both = both.union(edges.select(F.col("dst").alias("host"), F.col("src").alias("to"), "n", F.lit(False).alias("forward")))
     totals = both.groupBy("host", "forward").agg(F.sum("n").alias("all"))
     flows = store(both.join(totals, ["host", "forward"]), "flows")
+    if flows.isEmpty():
+        return base
+    sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ways]
+    given = base.agg(*sums).first()
+    seeds_of = base.select("host", *(F.col(c).alias(f"seed_{c}") for c in ways))
     now = base
-    for _ in range(spread.rounds if not flows.isEmpty() else 0):
+    for _ in range(spread.rounds):
         rank = F.when(F.col("forward"), F.col("trust")).otherwise(F.col("distrust"))
         part = F.floor(rank * F.lit(spread.damping) * (F.col("n") / F.col("all"))).cast("long")
-        moved = flows.join(now, "host").select(F.col("to").alias("host"), *(F.when(F.col("forward") == way, part).otherwise(0).alias(c) for c, way in (("trust", True), ("distrust", False))))
-        home = base.select("host", *(F.floor(F.col(c) * F.lit(1 - spread.damping)).cast("long").alias(c) for c in ("trust", "distrust")))
-        now = store(moved.unionByName(home).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "ranks")
+        sent = flows.join(now, "host").select(F.col("to").alias("host"), *(F.when(F.col("forward") == way, part).otherwise(0).alias(c) for c, way in zip(ways, (True, False), strict=True)))
+        reached = sent.groupBy("host").agg(*(F.sum(c).alias(c) for c in ways)).join(seeds_of, "host")
+        open_to = {c: 1 - F.col(f"seed_{other}") / MASS for c, other in zip(ways, ways[::-1], strict=True)}
+        taken = store(reached.select("host", *(F.floor(F.col(c) * open_to[c]).cast("long").alias(c) for c in ways)), "ranks")
+        back = [1 - t / g if g else 0.0 for t, g in zip(taken.agg(*sums).first(), given, strict=True)]
+        home = [F.floor(F.col(f"seed_{c}") * F.lit(b)).cast("long") for c, b in zip(ways, back, strict=True)]
+        now = seeds_of.join(taken, "host", "left").select("host", *((F.coalesce(F.col(c), F.lit(0)) + h).alias(c) for c, h in zip(ways, home, strict=True)))
     return now
 
 
-def host_verdicts(ranks: DataFrame, start: DataFrame, spread: Spread) -> DataFrame:
-    """(host, distrusted), by the host's own rules where they are clear, else by its ranks."""
-    own = start.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d"))
+def host_verdicts(ranks: DataFrame, spread: Spread) -> DataFrame:
+    """(host, distrusted), by the ranks of every host alike."""
     least = spread.limit * (1 - spread.damping) * MASS
-    by_rank = (F.col("distrust") > F.lit(least)) & (F.col("distrust") > spread.factor * F.col("trust"))
-    found = F.when(F.col("d") > spread.factor * F.col("t"), True).when(F.col("t") > spread.factor * F.col("d"), False).otherwise(by_rank)
-    return ranks.join(own, "host", "left").select("host", found.alias("distrusted"))
+    return ranks.select("host", ((F.col("distrust") > F.lit(least)) & (F.col("distrust") > spread.factor * F.col("trust"))).alias("distrusted"))
 
 
 def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, spread: Spread | None = None) -> DataFrame:
@@ -124,7 +133,7 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, spread:
     judged = store(ruled.drop("html"), "judged")
     edges = store(links(own), "links")
     start = store(seeds(judged), "shares")
-    verdicts = host_verdicts(propagate(start, edges, spread), start, spread)
+    verdicts = host_verdicts(propagate(start, edges, spread), spread)
     # A row per host on the right; a host with very many pages is split by adaptive execution.
     found = judged.join(verdicts.filter("distrusted"), "host", "left")
     verdict = F.coalesce(F.col("rule.verdict"), F.when(F.col("distrusted"), "block").otherwise("allow"))
