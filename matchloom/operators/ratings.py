@@ -95,3 +95,62 @@ def latest_snapshot(
     if max_age is not None and not isinstance(max_age, (int, dt.timedelta)):
         raise TypeError("'max_age' must be of type int or datetime.timedelta")
     return with_freshness(latest(df, keys, order), order[0], as_of, max_age)
+
+
+#: Intervals of a class are at most so many times as long as its bins, and longer than one bin.
+CLASS_BASE = 8
+
+
+def overlap_join(
+    facts: DataFrame,
+    intervals: DataFrame,
+    key: str,
+    time: str,
+    take: Sequence[str],
+    how: str = "inner",
+) -> DataFrame:
+    """Each fact with every interval of its key that holds the fact's time; intervals may overlap.
+
+    Intervals are dealt to classes by length, and cut into bins of the time axis that suit their class: each
+    one lies in 2 to 9 bins, and in each bin it covers a good part of the facts, so hardly any pair is tried
+    in vain. Facts are looked up once per class present; there are at most 20 classes, as lengths of one
+    class differ by a factor of up to 8. The join is on key, class and bin: a large key is split by time,
+    and what still falls on one bin is split by adaptive execution. Beside the classes, the driver sees
+    the first and last time of the facts, to which open and long intervals are cut.
+
+    With `how="left"` facts without any interval stay, with nulls; null keys, times and starts match nothing.
+    Intervals that end before or when they start hold nothing. The result has the columns of facts,
+    then the bounds and `take`, which must not clash.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be inner or left")
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    first, last = facts.agg(F.min(at), F.max(at)).first()
+    first, last = F.lit(first).cast("long"), F.lit(last).cast("long")
+    bounds = {"_from": F.unix_micros(F.col(FROM).cast("timestamp")), "_to": F.coalesce(F.unix_micros(F.col(TO).cast("timestamp")), last + 1)}
+    spans = intervals.select(F.col(key).alias("_key"), F.struct(FROM, TO, *take).alias("_interval"), *(c.alias(n) for n, c in bounds.items()))
+    spans = spans.select("_key", "_interval", F.greatest("_from", first).alias("_from"), F.least("_to", last + 1).alias("_to"))
+    spans = spans.filter("_key IS NOT NULL AND _interval.from IS NOT NULL AND _from < _to")
+    # The class is found by comparing whole numbers; a logarithm would round.
+    widths = [CLASS_BASE**c for c in range(20)]
+    size = F.col("_to") - F.col("_from")
+    width = F.coalesce(*(F.when(size <= CLASS_BASE * w, F.lit(w)) for w in widths), F.lit(widths[-1] * CLASS_BASE)).cast("long")
+    spans = spans.withColumn("_width", width)
+    present = sorted(r[0] for r in spans.select("_width").distinct().collect())
+    spans = spans.withColumn("_bin", F.explode(F.sequence(_bin("_from"), _bin(F.col("_to") - 1))))
+    points = facts.select(F.col(key).alias("_key"), at.alias("_at"), F.struct(*facts.columns).alias("_fact"))
+    asked = points.withColumn("_width", F.explode(F.array(*map(F.lit, present)).cast("array<bigint>"))).withColumn("_bin", _bin("_at"))
+    pairs = asked.join(spans, ["_key", "_width", "_bin"]).filter("_from <= _at AND _at < _to")
+    found = pairs.select("_fact.*", "_interval.*")
+    if how == "inner":
+        return found
+    # Key and time decide what a fact meets, so the facts left over are those whose pair of both meets nothing.
+    met = pairs.select("_key", "_at").distinct()
+    alone = points.join(met, ["_key", "_at"], "left_anti").select("_fact.*")
+    return found.unionByName(alone, allowMissingColumns=True)
+
+
+def _bin(at: Column | str) -> Column:
+    """Start of the bin of a time, in bins from the origin; rounding is downwards before it, too."""
+    at = F.col(at) if isinstance(at, str) else at
+    return F.call_function("div", at - F.pmod(at, F.col("_width")), F.col("_width"))

@@ -180,6 +180,30 @@ def interval_join(spark, sf):
     return V.interval_join(others, spans, "user_id", "ts", [W.time_bucket("_time")], ["rating"])
 
 
+@check(
+    "overlap_join",
+    """
+    WITH offers AS (
+      SELECT user_id, event_id AS offer_id, ts AS "from",
+             CASE WHEN event_id % 11 = 0 THEN NULL ELSE ts + to_hours(CAST(pow(2, event_id % 11) AS INT)) END AS "to"
+      FROM events WHERE event_type = 'purchase'
+    )
+    SELECT e.event_id, e.user_id, e.ts, o."from", o."to", o.offer_id
+    FROM events e LEFT JOIN offers o
+      ON e.user_id = o.user_id AND e.ts >= o."from" AND (o."to" IS NULL OR e.ts < o."to")
+    WHERE e.event_type <> 'purchase'
+    """,
+)
+def overlap_join(spark, sf):
+    """Every purchase opens an offer of two hours to six weeks, some without an end; all other events meet the offers of their time."""
+    events = table(spark, sf, "events")
+    others = events.filter("event_type <> 'purchase'").select("event_id", "user_id", "ts")
+    hours = F.pow(F.lit(2), F.col("event_id") % 11).cast("int")
+    end = F.when(F.col("event_id") % 11 != 0, F.col("ts") + F.make_dt_interval(hours=hours))
+    offers = events.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("offer_id"), F.col("ts").alias("from"), end.alias("to"))
+    return V.overlap_join(others, offers, "user_id", "ts", ["offer_id"], "left")
+
+
 @check(
     "entity_history",
     """

@@ -199,6 +199,32 @@ def test_interval_join_ends_and_gaps(spark):
     assert V.overlapping_intervals(longer, line).count() == 1
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_overlap_join(spark, how):
+    rng = random.Random(8)
+    t = lambda s: START + dt.timedelta(seconds=s)
+    span = 40 * 86400
+    facts = [(i, rng.choice(["hot", "hot", "a", "b", None]), t(rng.randrange(-span, span))) for i in range(400)]
+    facts += [(400, "hot", None), (401, "none", t(0)), (402, "edge", t(0)), (403, "edge", t(10))]
+    intervals = []
+    for i in range(300):
+        start, size = rng.randrange(-span, span), 8 ** rng.randrange(8) + rng.randrange(3) - 1
+        intervals.append((rng.choice(["hot", "a", "b", None]), t(start), None if i % 30 == 0 else t(start + size), i))
+    intervals += [("edge", t(0), t(10), 900), ("edge", t(10), t(10), 901), ("edge", t(9), t(3), 902), ("edge", t(0), t(10), 900)]
+    intervals += [("edge", None, t(10), 903)]
+    want = []
+    for i, k, ts in facts:
+        met = [r for key, a, b, r in intervals if k is not None and key == k and ts and a and a <= ts and (b is None or ts < b)]
+        want += [(i, r) for r in met] or ([(i, None)] if how == "left" else [])
+    left = spark.createDataFrame(facts, "i int, k string, ts timestamp")
+    right = spark.createDataFrame(intervals, "k string, `from` timestamp, `to` timestamp, r int")
+    found = V.overlap_join(left, right, "k", "ts", ["r"], how)
+    assert sorted((r.i, r.r if r.r is not None else -1) for r in found.collect()) == sorted((i, r if r is not None else -1) for i, r in want)
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+    for some, other, n in ((left.limit(0), right, 0), (left, right.limit(0), len(facts) if how == "left" else 0)):
+        assert V.overlap_join(some, other, "k", "ts", ["r"], how).count() == n
+
+
 def test_history(spark):
     df = spark.createDataFrame([("Man City", 1), ("Team & City", 2)], "team string, elo int")
     aliases = spark.createDataFrame([("Manchester City", "Man City")], "canonical string, alias string")
