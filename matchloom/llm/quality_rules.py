@@ -180,6 +180,7 @@ TRIAL = [*GROUP, "start"]
 ALL = "+"
 PAIRS = [(i, j) for i in range(D) for j in range(i + 1)]
 MEANS, COVARIANCES = [f"mean{i}" for i in range(D)], [f"c{i}{j}" for i, j in PAIRS]
+FACTORS = [f"w{i}{j}" for i, j in PAIRS]
 
 
 def with_group(measured: DataFrame, name: str) -> DataFrame:
@@ -203,23 +204,31 @@ def floor_moment(i: int, j: int) -> float:
     return FLOORS[i] * FLOORS[j] * (1.0 if i == j else FLOOR_CORRELATION.get((i, j), 0.0))
 
 
-def moment_sums() -> list[Column]:
-    """Number of rows, sums and sums of products of vectors."""
-    products = [F.sum(F.col(f"__x{i}") * F.col(f"__x{j}")).alias(f"p{i}{j}") for i, j in PAIRS]
-    return [F.count("*").alias("n"), *(F.sum(f"__x{i}").alias(f"s{i}") for i in range(D)), *products]
+def number(x: float) -> str:
+    """A double in SQL."""
+    return f"{float(x)!r}D"
 
 
+#: Number of rows, sums and sums of products of vectors. Long expressions are written as SQL texts, since each
+#: step from Python costs a call.
 SUMS = ["n", *(f"s{i}" for i in range(D)), *(f"p{i}{j}" for i, j in PAIRS)]
+MOMENTS = ["count(*)", *(f"sum(__x{i})" for i in range(D)), *(f"sum(__x{i} * __x{j})" for i, j in PAIRS)]
+
+
+def moment_sums() -> list[Column]:
+    return [F.expr(f"{moment} AS {name}") for moment, name in zip(MOMENTS, SUMS)]
+
+
+def added_sums() -> list[Column]:
+    """Such sums of parts added up."""
+    return [F.expr(f"sum({name}) AS {name}") for name in SUMS]
 
 
 def from_sums(summed: DataFrame, keys: list[str], scale: float) -> DataFrame:
     """Mean and covariance from such sums; `all` is the number of rows of the group."""
-    mean = {f"mean{i}": F.col(f"s{i}") / F.col("n") / UNIT for i in range(D)}
-    cov = {}
-    for i, j in PAIRS:
-        moment = F.col(f"p{i}{j}") / F.col("n") / UNIT**2 - F.col(f"mean{i}") * F.col(f"mean{j}")
-        cov[f"c{i}{j}"] = moment * scale + floor_moment(i, j)
-    return summed.withColumns(mean).select(*keys, "all", *mean, *(c.alias(n) for n, c in cov.items()))
+    means = summed.selectExpr("*", *(f"s{i} / n / {UNIT} AS mean{i}" for i in range(D)))
+    moment = "(p{0}{1} / n / %d - mean{0} * mean{1}) * %s + {2} AS c{0}{1}" % (UNIT**2, number(scale))
+    return means.selectExpr(*keys, "`all`", *MEANS, *(moment.format(i, j, number(floor_moment(i, j))) for i, j in PAIRS))
 
 
 def starts(rows: DataFrame) -> DataFrame:
@@ -238,7 +247,7 @@ def starts(rows: DataFrame) -> DataFrame:
     one = found.groupBy(*GROUP).agg(F.max("all").alias("all"), *(F.max(F.when(F.col("i") == i, F.col(c))).alias(f"{c}{i}") for i in range(D) for c in ("mean", "spread")))
     cov = [(F.pow(F.col(f"spread{i}"), 2) + floor_moment(i, j) if i == j else F.lit(floor_moment(i, j))).alias(f"c{i}{j}") for i, j in PAIRS]
     robust = one.select(*GROUP, F.lit(0).alias("start"), "all", *MEANS, *cov)
-    summed = levels(rows.groupBy(*GROUP).agg(*moment_sums())).groupBy(*GROUP).agg(*(F.sum(c).alias(c) for c in SUMS))
+    summed = levels(rows.groupBy(*GROUP).agg(*moment_sums())).groupBy(*GROUP).agg(*added_sums())
     plain = from_sums(summed.select(*GROUP, F.lit(1).alias("start"), F.col("n").alias("all"), *SUMS), TRIAL, 1.0)
     return robust.unionByName(plain)
 
@@ -251,9 +260,9 @@ def mixed(raw: DataFrame) -> DataFrame:
     values = [*MEANS, *COVARIANCES]
 
     def mix(inner: DataFrame, outer: DataFrame, keys: list[str]) -> DataFrame:
-        own = F.col("all") / (F.col("all") + PRIOR)
-        wide = outer.select(*keys, *(F.col(v).alias(f"wide_{v}") for v in values))
-        return inner.join(wide, keys).select(*TRIAL, "all", *((own * F.col(v) + (1 - own) * F.col(f"wide_{v}")).alias(v) for v in values))
+        wide = outer.selectExpr(*keys, *(f"{v} AS wide_{v}" for v in values))
+        own = inner.withColumn("own", F.expr(f"`all` / (`all` + {PRIOR})"))
+        return own.join(wide, keys).selectExpr(*TRIAL, "`all`", *(f"own * {v} + (1 - own) * wide_{v} AS {v}" for v in values))
 
     top = raw.filter(F.col("g_lang") == ALL)
     languages = mix(raw.filter((F.col("g_lang") != ALL) & (F.col("g_source") == ALL)), top, ["start"])
@@ -262,29 +271,27 @@ def mixed(raw: DataFrame) -> DataFrame:
 
 
 def factor(estimates: DataFrame) -> DataFrame:
-    """The Cholesky factor l00, l10, l11, ... of each covariance, column by column of the matrix."""
-    for j in range(D):
-        below = sum((F.pow(F.col(f"l{j}{k}"), 2) for k in range(j)), F.lit(0.0))
-        estimates = estimates.withColumn(f"l{j}{j}", F.sqrt(F.col(f"c{j}{j}") - below))
-        rest = {}
-        for i in range(j + 1, D):
-            dot = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-            rest[f"l{i}{j}"] = (F.col(f"c{i}{j}") - dot) / F.col(f"l{j}{j}")
-        estimates = estimates.withColumns(rest) if rest else estimates
-    size = sum((2 * F.log(F.col(f"l{i}{i}")) for i in range(D)), F.lit(0.0))
-    return estimates.select(*TRIAL, *MEANS, *(F.col(f"l{i}{j}") for i, j in PAIRS), size.alias("log_det"))
-
-
-def distance(row: Column | None = None) -> Column:
-    """Squared Mahalanobis distance of the vector from the estimates joined to it."""
+    """The inverse w00, w10, w11, ... of the Cholesky factor of each covariance, and the logarithm of its determinant."""
 
-    def solve(i: int, y: list[Column]) -> Column:
-        if i == D:
-            return sum((v * v for v in y), F.lit(0.0))
-        dot = sum((F.col(f"l{i}{k}") * y[k] for k in range(i)), F.lit(0.0))
-        return let((F.col(f"__x{i}") / UNIT - F.col(f"mean{i}") - dot) / F.col(f"l{i}{i}"), lambda v: solve(i + 1, [*y, v]))
+    def less(start: str, terms: list[str]) -> str:
+        return " - ".join([start, *terms])
 
-    return solve(0, [])
+    for j in range(D):
+        estimates = estimates.selectExpr("*", f"sqrt({less(f'c{j}{j}', [f'l{j}{k} * l{j}{k}' for k in range(j)])}) AS l{j}{j}")
+        below = (f"({less(f'c{i}{j}', [f'l{i}{k} * l{j}{k}' for k in range(j)])}) / l{j}{j} AS l{i}{j}" for i in range(j + 1, D))
+        estimates = estimates.selectExpr("*", *below)
+    estimates = estimates.selectExpr("*", *(f"1 / l{i}{i} AS w{i}{i}" for i in range(D)))
+    for gap in range(1, D):
+        row = (f"-({' + '.join(f'l{j + gap}{k} * w{k}{j}' for k in range(j, j + gap))}) / l{j + gap}{j + gap} AS w{j + gap}{j}" for j in range(D - gap))
+        estimates = estimates.selectExpr("*", *row)
+    size = " + ".join(f"2 * ln(l{i}{i})" for i in range(D))
+    return estimates.selectExpr(*TRIAL, *MEANS, *FACTORS, f"{size} AS log_det")
+
+
+def distance() -> Column:
+    """Squared Mahalanobis distance of the vector from the estimates joined to it."""
+    parts = (" + ".join(f"w{i}{k} * (__x{k} / {UNIT} - mean{k})" for k in range(i + 1)) for i in range(D))
+    return F.expr(" + ".join(f"pow({part}, 2)" for part in parts))
 
 
 def concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -294,7 +301,7 @@ def concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     whole = Window.partitionBy(*TRIAL)
     before = F.coalesce(F.sum("n").over(whole.orderBy("near").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     inner = classes.withColumn("before", before).withColumn("all", F.sum("n").over(whole)).filter(F.col("before") < F.ceil(F.col("all") * KEPT))
-    total = inner.groupBy(*TRIAL).agg(F.max("all").alias("all"), *(F.sum(c).alias(c) for c in SUMS))
+    total = inner.groupBy(*TRIAL).agg(F.max("all").alias("all"), *added_sums())
     return from_sums(total, TRIAL, consistency(KEPT, D))
 
 
@@ -305,7 +312,7 @@ def change(old: DataFrame, new: DataFrame) -> float:
 
 
 def estimate(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Mean and Cholesky factor of each group, from the start with the least determinant.
+    """Mean and inverse Cholesky factor of each group, from the start with the least determinant.
 
     The tables have a few rows per group; each is stored, as the next step reads it several times.
     """
