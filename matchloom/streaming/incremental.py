@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from matchloom.operators.filters import first_seen
+from matchloom.sources.batches import Batches
 from matchloom.sources.tables import append_aligned, read_or_empty
 
 
@@ -40,16 +41,34 @@ def incremental_append(
 ) -> None:
     """Append the first row per new key to a Parquet table; a second run adds nothing. Rows without a key are not appended.
 
+    Of several runs at once, the first to finish enters its batch; the others then drop the keys that came in
+    and try again, so each key is there once. A run that breaks off adds all of its rows or none (`sources.batches`).
     `partition_by` must be determined by the key, see `new_rows`.
     """
-    schema = schema or candidates.schema
-    existing = read_or_empty(candidates.sparkSession, path, schema)
+    spark, schema = candidates.sparkSession, schema or candidates.schema
+    folders = [partition_by] if partition_by else []
+    batches = Batches(spark, path)
+    last = batches.last()
+    batches.finish(last)
+    new_table = last == 0
     firsts = first_seen(candidates, [key], order).persist()
     try:
-        fresh = new_rows(firsts, existing, key, partition_by)
-        append_aligned(fresh, path, schema, [partition_by] if partition_by else [])
+        stage = batches.new_stage()
+        append_aligned(new_rows(firsts, read_or_empty(spark, path, schema), key, partition_by), stage, schema, folders)
     finally:
         firsts.unpersist()
+    while True:
+        staged = spark.read.schema(schema).parquet(stage)
+        if staged.isEmpty() and not new_table:
+            return batches.drop(stage)
+        if batches.take(stage, last + 1):
+            return None
+        last, new_table = batches.last(), False
+        batches.finish(last)
+        rest, earlier = batches.new_stage(), stage
+        append_aligned(new_rows(staged, read_or_empty(spark, path, schema), key, partition_by), rest, schema, folders)
+        stage = rest
+        batches.drop(earlier)
 
 
 def start_incremental(
@@ -62,7 +81,8 @@ def start_incremental(
 ) -> StreamingQuery:
     """`incremental_append` for every batch of a file stream, over all files present now.
 
-    A batch that is repeated after a failure finds its own rows in the table and adds none.
+    A batch that is repeated after a failure finds its own rows in the table and adds none; a second
+    stream into the same table at the same time adds no key twice.
     """
     schema = stream.schema
 

@@ -163,6 +163,50 @@ def test_stream(spark, tmp_path):
     assert run("other") == 100
 
 
+def test_two_runs_at_once_leave_each_key_once(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "t"), "url string, day string"
+    batch = lambda ids: spark.createDataFrame([(i, f"d{i[-1]}") for i in ids], schema)
+    take, inner = N.Batches.take, []
+
+    def overtaken(self, stage, number):
+        """Lets two other runs over partly the same candidates finish first."""
+        if not inner:
+            inner.append(stage)
+            N.incremental_append(batch(["a1", "b2"]), path, "url", ["day"], partition_by="day")
+            N.incremental_append(batch(["b2", "c1"]), path, "url", ["day"], partition_by="day")
+        return take(self, stage, number)
+
+    monkeypatch.setattr(N.Batches, "take", overtaken)
+    N.incremental_append(batch(["a1", "b2", "c1", "d2"]), path, "url", ["day"], partition_by="day")
+    found = spark.read.schema(schema).parquet(path).collect()
+    assert sorted((r.url, r.day) for r in found) == [("a1", "d1"), ("b2", "d2"), ("c1", "d1"), ("d2", "d2")]
+    assert N.Batches(spark, path).last() == 3
+
+
+def test_broken_runs_add_all_or_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    batch = lambda *ids: spark.createDataFrame([(i, 0) for i in ids], "url string, pos int").repartition(2)
+    append = lambda df: N.incremental_append(df, path, "url", ["pos"])
+    urls = lambda: sorted(r.url for r in spark.read.parquet(path).collect())
+    append(batch("a"))
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:  # before the batch has its number
+        patch.setattr(N.Batches, "take", broken)
+        with pytest.raises(RuntimeError):
+            append(batch("b", "c"))
+    assert urls() == ["a"]
+    with monkeypatch.context() as patch:  # with its number, before its files are in place
+        finish = N.Batches.finish
+        patch.setattr(N.Batches, "finish", lambda self, n: broken() if n == 2 else finish(self, n))
+        with pytest.raises(RuntimeError):
+            append(batch("b", "c"))
+    append(batch("c", "d"))
+    assert urls() == ["a", "b", "c", "d"]
+
+
 def test_rows_without_a_key_are_not_appended_again_and_again(spark, tmp_path):
     rows = spark.createDataFrame([(None, 1), ("a", 2), ("a", 3), (None, 4)], "url string, pos int")
     for _ in range(3):
