@@ -9,6 +9,7 @@ from matchloom.operators.joins import lookup_join
 from matchloom.plans.checks import check, table
 from matchloom.session import shared_dir
 from matchloom.sources.inline import inline_table
+from matchloom.sources.csv_files import read_divided
 from matchloom.streaming.incremental import new_rows, start_incremental
 
 
@@ -109,3 +110,13 @@ def stream_incremental(spark, sf):
         )
         query.awaitTermination()
     return spark.read.schema(source.schema).parquet(f"{folder}/events")
+
+
+@check("csv_line_breaks", "SELECT doc_id, NULLIF(lang, '') AS lang, NULLIF(text, '') AS text FROM documents")
+def csv_line_breaks(spark, sf):
+    """Documents written as CSV with their line breaks, and read back by blocks."""
+    path = f"{shared_dir(spark, 'csv')}/documents"
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    plain = {"header": True, "escape": '"', "quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    docs.write.options(**plain).csv(path)
+    return read_divided(spark, path, docs.schema)

@@ -2,7 +2,7 @@
 
 Columns are read as text, or with the schema given; nothing is inferred from the data.
 Spark drops a byte order mark and reads quoted fields as one. Files whose quoted fields may hold line
-breaks are read with `line_breaks`; such a file cannot be divided between tasks.
+breaks are read with `line_breaks`, which cannot divide a file between tasks, or by `read_divided`, which can.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from matchloom.functions.dates import season_code
 from matchloom.operators.columns import merge_headers, null_tokens, union_missing, unique_names
+from matchloom.operators.series import Series, running_total, segment_records
 
 
 def _reader(spark: SparkSession, header: bool, line_breaks: bool = False) -> DataFrameReader:
@@ -56,6 +57,37 @@ def read_headerless(spark: SparkSession, path: str | Sequence[str], names: Seque
     return _reader(spark, False, line_breaks).schema(_text_schema(names)).csv(path)
 
 
+def read_divided(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, header: bool = True, rows_per_task: int = 1_000_000
+) -> DataFrame:
+    """Files with known columns whose quoted fields may hold line breaks, each read by as many tasks as it has blocks.
+
+    Lines are read as text. A line opens a record where the number of quotes before it in its file is even: counts
+    are carried over blocks as one row per block (`operators.series`), so is the number of the record, and the lines of a
+    record meet in a grouping by it. Quotes inside a field must be doubled, and an unquoted field must hold none.
+    Line breaks inside quotes stay as they are written. Blank lines between records are skipped; an empty field is null, quoted or not,
+    as is one that does not fit its type. With `header`, the first record of each
+    file is left out. Files of more than `rows_per_task` lines are cut at their blocks.
+    """
+    at = ["_start", "_line"]
+    lines = spark.read.option("lineSep", "\n").text(path if isinstance(path, str) else list(path)).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_line"), F.col("value").alias("_text"),
+    )
+    lines = lines.withColumn("_quotes", F.length("_text") - F.length(F.replace("_text", F.lit('"'), F.lit(""))))
+    series = Series(["_file"], at, [F.col("_start")], rows_per_task)
+    counted = running_total(lines, series, F.col("_quotes").cast("bigint"), "_upto", lines)
+    opens = (F.col("_upto") - F.col("_quotes")) % 2 == 0
+    numbered = segment_records(counted, series, opens, "_record")
+    whole = numbered.groupBy("_file", "_record").agg(F.array_sort(F.collect_list(F.struct(*at, "_text"))).alias("_lines"))
+    # A carriage return at the end of a record is outside quotes and belongs to its line break.
+    record = F.regexp_replace(F.array_join(F.col("_lines._text"), "\n"), "\r$|^\ufeff", "")
+    records = whole.filter(F.col("_record") > 1) if header else whole
+    ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    fields = F.from_csv("_csv", ddl, {"quote": '"', "escape": '"', "multiLine": "true"})
+    return records.select(record.alias("_csv")).filter(F.col("_csv") != "").select(fields.alias("_row")).select("_row.*")
+
+
 def _first_lines(spark: SparkSession, path: str, n: int) -> list[list[str]]:
     """The first lines of a file, split into fields. Only these lines come to the driver."""
     lines = [r.value for r in spark.read.text(path).head(n)]

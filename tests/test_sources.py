@@ -212,3 +212,30 @@ def test_rows_without_a_key_are_not_appended_again_and_again(spark, tmp_path):
     for _ in range(3):
         N.incremental_append(rows, str(tmp_path / "t"), "url", ["pos"])
     assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "t")).collect()] == [("a", 2)]
+
+
+@pytest.mark.parametrize("rows_per_task", [10, 1_000_000])
+def test_files_with_line_breaks_are_divided(spark, tmp_path, rows, rows_per_task):
+    texts = ['a\nb', '"', 'say ""', "\n\n", "x,y\r\nz", "", "end\r", "plain", "long\n" * 40]
+    lines = ["id,text,n"]
+    for i in range(200):
+        quoted = texts[i % len(texts)].replace('"', '""')
+        lines += [f'{i},"{quoted}",{i if i % 7 else "bad"}'] + ([""] if i % 50 == 0 else [])
+    path = tmp_path / "one.csv"
+    path.write_bytes(("\ufeff" + "\r\n".join(lines) + "\r\n").encode())
+    (tmp_path / "two.csv").write_bytes(b'id,text,n\n1000,"p\n""q",5')
+    schema = "id int, text string, n int"
+    both = [str(path), str(tmp_path / "two.csv")]
+    # As in Spark's own reader, an empty field is null, quoted or not.
+    expected = sorted([(i, texts[i % len(texts)] or None, i if i % 7 else None) for i in range(200)] + [(1000, 'p\n"q', 5)])
+    by_one_task = C.read_typed(spark, both, schema, line_breaks=True).filter("id % 9 not in (4, 6)")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        divided = C.read_divided(spark, both, schema, rows_per_task=rows_per_task)
+        assert spark.read.text(both).rdd.getNumPartitions() > 10
+        assert sorted(tuple(r) for r in divided.collect()) == expected
+        # The reader of one task gives carriage returns inside quotes as line feeds; else both agree.
+        assert divided.filter("id % 9 not in (4, 6)").exceptAll(by_one_task).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
