@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Sequence
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,11 +76,22 @@ def strip_accents(c: Column | str, hyphens: bool = False) -> Column:
     return once(c, lambda text: F.when(is_ascii(text), text).otherwise(once(F.translate(text, source, target), spelled_out)))
 
 
-@F.pandas_udf(T.StringType())
-def strip_accents_exact(texts: pd.Series) -> pd.Series:
-    """The yardstick of `strip_accents`, on Arrow batches."""
-    plain = texts.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
-    return plain.where(texts.notna(), None)
+@F.arrow_udf(T.StringType())
+def strip_accents_exact(texts: pa.Array) -> pa.Array:
+    """The yardstick of `strip_accents`, on Arrow batches.
+
+    Only one text of a batch is a Python string at a time; the plain bytes of all become the result.
+    """
+    plain, ends, missing = bytearray(), array("q", [0]), []
+    for text in texts:
+        value = text.as_py()
+        missing.append(value is None)
+        if value is not None:
+            plain += value.encode() if value.isascii() else unicodedata.normalize("NFKD", value).encode("ascii", "ignore")
+        ends.append(len(plain))
+    valid = pa.array(missing, pa.bool_())
+    known = pc.invert(valid).buffers()[1]
+    return pa.LargeStringArray.from_buffers(len(missing), pa.py_buffer(ends), pa.py_buffer(plain), known, sum(missing)).cast(pa.string())
 
 
 def normalize_text(c: Column | str, hyphens: bool = False) -> Column:

@@ -1,5 +1,7 @@
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -97,3 +99,16 @@ def test_null_tokens(values):
 )
 def test_snake_case(name, expected):
     assert X.snake_case(name) == expected
+
+
+def test_exact_accents_hold_one_text_at_a_time():
+    texts = ["é" * 20_000 if n % 2 else None for n in range(400)]
+    batch = pa.array(texts, pa.string())
+    tracemalloc.start()
+    plain = X.strip_accents_exact.func(batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8_000_000  # the result has 4 million bytes; all texts decomposed would have 16 million
+    assert plain.to_pylist() == [t and "e" * 20_000 for t in texts]
+    assert X.strip_accents_exact.func(pa.array(["x", None, "ﬁ½"]).slice(1)).to_pylist() == [None, "fi12"]
+    assert len(X.strip_accents_exact.func(pa.array([], pa.string()))) == 0
