@@ -443,31 +443,42 @@ def with_partner(tiles: DataFrame, short: DataFrame, share: tuple[int, int]) ->
 # ---------------------------------------------------------------- results
 
 
-def alike_links(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Links (u, v) that connect all alike sets of (fp, n, path)."""
+def alike_links(sets: DataFrame, share: tuple[int, int], first_links: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Links (u, v) that connect all alike sets of (fp, n, path).
+
+    `first_links` gives links of alike sets that are known before; what they connect is not compared again.
+    """
     rows = store(prefix_rows(sets, share), "prefixes")
     sizes = sets.select("fp", "n")
     groups = store(group_tiles(rows, sizes), "groups")
     alone = groups.withColumn("label", F.col("fp")).withColumn("grp", F.col("fp"))
+    if first_links:
+        known = store(first_links(sets), "first-links")
+        before = components(known).select(F.col("node").alias("fp"), "component")
+        alone = groups.join(before, "fp", "left").withColumns({"label": F.coalesce("component", "fp"), "grp": F.col("fp")})
     near = store(tile_links(alone, ["leader", "part"], sets, share), "group-links")
+    near = near.unionByName(known) if first_links else near
     label = store(components(near), "labels")
     mixed = mixed_tiles(rows, sizes, label, settled_groups(groups))
     tiles = store(with_partner(mixed, prefixes(sets, share), share), "tiles")
     return near.unionByName(tile_links(tiles, ["key", "low", "high"], sets, share))
 
 
-def join_documents(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE, empty_alike: bool = False) -> DataFrame:
+def join_documents(
+    docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE, empty_alike: bool = False,
+    first_links: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document.
 
     The component is the smallest key reachable by links between documents whose sets have
-    |a and b| / |a or b| >= share.
+    |a and b| / |a or b| >= share; `first_links` as in `alike_links`.
     """
     common = common_shingles(docs, words)
     named = store(summaries(docs, words, share, common), "summaries")
     sets = store(named.groupBy("fp").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sure").alias("sure")), "sets")
     wanted = store(may_be_alike(sets, shared_counts(named), share), "wanted")
     whole = store(whole_sets(docs, wanted, words, common), "paths")
-    linked = components(store(alike_links(whole, share), "links"))
+    linked = components(store(alike_links(whole, share, first_links), "links"))
     member = sets.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
     # One row per set on the right; adaptive execution splits a set of very many copies.

@@ -54,7 +54,11 @@ def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
         ends.append(at)
     starts = [0, *(e + 1 for e in ends[:-1])]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[s:e], seed) for s, e in zip(starts, ends[min(words, len(ends)) - 1 :], strict=False)], dtype="<u8")
+    return majority(np.array([digest(joined[s:e], seed) for s, e in zip(starts, ends[min(words, len(ends)) - 1 :], strict=False)], dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have."""
     counts = np.zeros(BITS, dtype="int64")
     for i in range(0, len(hashes), 65536):
         counts += np.unpackbits(hashes[i : i + 65536].view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype="int64")

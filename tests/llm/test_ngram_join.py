@@ -98,6 +98,23 @@ def test_near_copies_keep_one_of_each_group(spark):
     assert near_copies.keep_one(frame(spark, [])).count() == 0
 
 
+def test_near_copies_are_linked_by_fingerprints_and_checked(spark):
+    rng = random.Random(8)
+    paths = []
+    for _ in range(12):
+        base = [rng.getrandbits(63) for _ in range(400)]
+        paths += [np.array(sorted(base[: 400 - k]), "u8") for k in (0, 1, 2)]
+    few = [rng.getrandbits(63) for _ in range(9)]  # the seven hashes in both sets are no four fifths of all
+    paths += [np.array(sorted(few[:8]), "u8"), np.array(sorted(few[:7] + few[8:]), "u8")]
+    sets = spark.createDataFrame([(i, len(p), bytearray(p.tobytes())) for i, p in enumerate(paths)], "fp long, n long, path binary")
+    links = {frozenset((r.u, r.v)) for r in near_copies.fingerprint_links(sets).collect()}
+    assert links and all(max(x) // 3 == min(x) // 3 and max(x) < 36 for x in links)
+    pairs = spark.createDataFrame([(36, 37), (0, 1), (0, 3)], "u long, v long")
+    assert [tuple(r) for r in near_copies.alike_pairs(pairs, sets).collect()] == [(0, 1)]
+    joined = {frozenset((r.u, r.v)) for r in ngram_join.alike_links(sets, near_copies.SHARE, near_copies.fingerprint_links).collect()}
+    assert links <= joined and all(max(x) // 3 == min(x) // 3 for x in joined)
+
+
 def test_trees_give_each_pair_once():
     rng = random.Random(1)
     for _ in range(60):
