@@ -27,19 +27,27 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).filter("u != v")
 
 
+def _unsettled(edges: DataFrame) -> int:
+    """Nodes that are tied to several nodes, or tied to one while others are tied to them; none in stars."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("tied")).union(edges.select("v", F.lit(None)))
+    found = ends.groupBy("node").agg(F.count("tied").alias("tied"), F.count("*").alias("n"))
+    return found.agg(F.count_if((F.col("tied") > 1) | ((F.col("tied") == 1) & (F.col("n") > 1)))).first()[0]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of an edge list (u, v); the component is its least node.
 
-    Nothing but two numbers reaches the driver in a round. A node with very many edges is aggregated
+    Nothing but a number reaches the driver in a round. A node with very many edges is aggregated
     before the shuffle, and its join partition is split by adaptive execution. The edges are stored
-    after each round, which keeps the plan short and survives the loss of an executor.
+    after each round, which keeps the plan short and survives the loss of an executor. They lead from higher to
+    lower nodes, so the rounds end when they form stars: a round that changes nothing isn't run to find out.
     """
     now = store(edges.filter("u != v").select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")).distinct(), "edges")
-    mark = None
-    while True:
-        found = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
-        if tuple(found) == mark or not found["n"]:
-            break
-        mark = tuple(found)
+    while _unsettled(now):
         now = store(_small_star(_large_star(now).distinct()).distinct(), "edges")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def stars(label: DataFrame) -> DataFrame:
+    """Links (u, v) that connect the same nodes as (node, component)."""
+    return label.filter("node != component").select(F.col("node").alias("u"), F.col("component").alias("v"))

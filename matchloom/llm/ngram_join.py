@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.llm.common import ROWS_AT_ONCE, keyed_text, map_rows, to_arrow
-from matchloom.llm.components import components
+from matchloom.llm.components import components, stars
 from matchloom.session import store
 
 WORDS = 3
@@ -49,8 +49,8 @@ SAMPLE, COMMON, MOST_COMMON = 2048, 4, 100_000
 BLOCK, ELEMENTS = 256, 2_000_000
 #: Set names that a task remembers, to pass on equal sets once.
 REMEMBERED = 100_000
-#: Bits of the table that tells which texts are read again; a false hit costs work only.
-SLOTS = 1 << 24
+#: Most bits of the table that tells which texts are read again, and bits for each; a false hit costs work only.
+SLOTS, SLOTS_EACH = 1 << 24, 16
 LAST = np.uint64(1 << 63)
 LINKS = "u long, v long"
 
@@ -192,24 +192,43 @@ def may_be_alike(sets: DataFrame, counts: DataFrame, share: tuple[int, int]) ->
     return joined.filter(F.coalesce("shared", F.lit(0)) + F.col("sure") >= need).select("fp", "n", "least")
 
 
+def slots_for(keys: int) -> int:
+    """Bits of the table for so many keys: a power of two, at most SLOTS."""
+    return min(SLOTS, 1 << max(10, (SLOTS_EACH * keys - 1).bit_length()))
+
+
 def whole_sets(docs: DataFrame, wanted: DataFrame, words: int, common: np.ndarray) -> DataFrame:
     """(fp, n, path): the sets named in `wanted` (fp, n, least), in the global order."""
 
+    # A set is read from one of its documents; those without a key are read in any case.
+    keys = wanted.filter("least IS NOT NULL").select("least")
+    slots = slots_for(keys.count())
+
+    def row(bits: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], names=["bits"])
+
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(SLOTS, bool)
+        table = np.zeros(slots, bool)
         for batch in batches:
-            table[batch.column(0).to_numpy().view("u8") % SLOTS] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(table).tobytes()], pa.binary())], names=["bits"])
+            table[batch.column(0).to_numpy().view("u8") % slots] = True
+        yield row(np.packbits(table))
 
-    # A set is read from one of its documents; those without a key are read in any case.
-    keys = wanted.filter("least IS NOT NULL").select("least")
-    parts = [np.frombuffer(r["bits"], "u1") for r in keys.coalesce(8).mapInArrow(mark, "bits binary").collect()]
-    bits = np.bitwise_or.reduce(parts) if parts else np.zeros(SLOTS // 8, "u1")
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(slots // 8, "u1")
+        for batch in batches:
+            for part in batch["bits"]:
+                bits |= np.frombuffer(part.as_buffer(), "u1")
+        yield row(bits)
+
+    # The tables, eight at most, become one before the driver gets it.
+    marked = keys.coalesce(8).mapInArrow(mark, "bits binary").repartition(1).mapInArrow(merge, "bits binary")
+    found = marked.first()
+    bits = np.frombuffer(found["bits"], "u1") if found else np.zeros(slots // 8, "u1")
 
     def make():
         def work(keys, texts):
             for key, text in zip(keys, texts, strict=True):
-                slot = 0 if key is None else key % 2**64 % SLOTS
+                slot = 0 if key is None else key % 2**64 % slots
                 if key is None or bits[slot >> 3] >> (7 - (slot & 7)) & 1:
                     found = in_order(shingles(text, words), common)
                     yield name_of(found), found.astype("<u8").tobytes()
@@ -443,10 +462,13 @@ def with_partner(tiles: DataFrame, short: DataFrame, share: tuple[int, int]) ->
 # ---------------------------------------------------------------- results
 
 
-def alike_links(sets: DataFrame, share: tuple[int, int], first_links: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Links (u, v) that connect all alike sets of (fp, n, path).
+def found_links(
+    sets: DataFrame, share: tuple[int, int], first_links: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(links, label, more): links of first_links and groups, the components they make, and links beyond these.
 
-    `first_links` gives links of alike sets that are known before; what they connect is not compared again.
+    What is connected goes on as stars around the least sets, so each search for components takes few rounds
+    beyond those that its new links need.
     """
     rows = store(prefix_rows(sets, share), "prefixes")
     sizes = sets.select("fp", "n")
@@ -454,14 +476,22 @@ def alike_links(sets: DataFrame, share: tuple[int, int], first_links: Callable[[
     alone = groups.withColumn("label", F.col("fp")).withColumn("grp", F.col("fp"))
     if first_links:
         known = store(first_links(sets), "first-links")
-        before = components(known).select(F.col("node").alias("fp"), "component")
-        alone = groups.join(before, "fp", "left").withColumns({"label": F.coalesce("component", "fp"), "grp": F.col("fp")})
+        before = store(components(known), "first-labels")
+        alone = groups.join(before.withColumnRenamed("node", "fp"), "fp", "left").withColumns({"label": F.coalesce("component", "fp"), "grp": F.col("fp")})
     near = store(tile_links(alone, ["leader", "part"], sets, share), "group-links")
-    near = near.unionByName(known) if first_links else near
-    label = store(components(near), "labels")
+    label = store(components(near.unionByName(stars(before)) if first_links else near), "labels")
     mixed = mixed_tiles(rows, sizes, label, settled_groups(groups))
     tiles = store(with_partner(mixed, prefixes(sets, share), share), "tiles")
-    return near.unionByName(tile_links(tiles, ["key", "low", "high"], sets, share))
+    return near.unionByName(known) if first_links else near, label, tile_links(tiles, ["key", "low", "high"], sets, share)
+
+
+def alike_links(sets: DataFrame, share: tuple[int, int], first_links: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Links (u, v) that connect all alike sets of (fp, n, path).
+
+    `first_links` gives links of alike sets that are known before; what they connect is not compared again.
+    """
+    links, _, more = found_links(sets, share, first_links)
+    return links.unionByName(more)
 
 
 def join_documents(
@@ -478,7 +508,8 @@ def join_documents(
     sets = store(named.groupBy("fp").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sure").alias("sure")), "sets")
     wanted = store(may_be_alike(sets, shared_counts(named), share), "wanted")
     whole = store(whole_sets(docs, wanted, words, common), "paths")
-    linked = components(store(alike_links(whole, share, first_links), "links"))
+    _, label, more = found_links(whole, share, first_links)
+    linked = components(store(stars(label).unionByName(more), "links"))
     member = sets.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
     # One row per set on the right; adaptive execution splits a set of very many copies.

@@ -255,19 +255,18 @@ def starts(rows: DataFrame) -> DataFrame:
 def mixed(raw: DataFrame) -> DataFrame:
     """Estimates of languages mixed with that of all rows, and of groups with those mixed ones.
 
-    The table has two rows per group; it is stored.
+    The table has two rows per group; it is stored. Each row meets that of its language and that of all once,
+    instead of a plan for each level: what follows, and all that the driver keeps of it, is there once.
     """
     values = [*MEANS, *COVARIANCES]
 
-    def mix(inner: DataFrame, outer: DataFrame, keys: list[str]) -> DataFrame:
-        wide = outer.selectExpr(*keys, *(f"{v} AS wide_{v}" for v in values))
-        own = inner.withColumn("own", F.expr(f"`all` / (`all` + {PRIOR})"))
-        return own.join(wide, keys).selectExpr(*TRIAL, "`all`", *(f"own * {v} + (1 - own) * wide_{v} AS {v}" for v in values))
-
-    top = raw.filter(F.col("g_lang") == ALL)
-    languages = mix(raw.filter((F.col("g_lang") != ALL) & (F.col("g_source") == ALL)), top, ["start"])
-    groups = mix(raw.filter(F.col("g_source") != ALL), languages, ["g_lang", "start"])
-    return top.select(*TRIAL, "all", *values).unionByName(languages).unionByName(groups)
+    raw = raw.selectExpr(*TRIAL, "`all`", f"`all` / (`all` + {PRIOR}) AS own", *values)
+    language = raw.filter(F.col("g_source") == ALL).selectExpr("g_lang", "start", "own AS lang_own", *(f"{v} AS lang_{v}" for v in values))
+    top = raw.filter(F.col("g_lang") == ALL).selectExpr("start", *(f"{v} AS top_{v}" for v in values))
+    met = raw.join(language, ["g_lang", "start"]).join(top, ["start"])
+    wide = met.selectExpr(*TRIAL, "`all`", "own", *values, *(f"lang_own * lang_{v} + (1 - lang_own) * top_{v} AS wide_{v}" for v in values))
+    level = "CASE WHEN g_lang = '{1}' THEN {0} WHEN g_source = '{1}' THEN wide_{0} ELSE own * {0} + (1 - own) * wide_{0} END AS {0}"
+    return wide.selectExpr(*TRIAL, "`all`", *(level.format(v, ALL) for v in values))
 
 
 def factor(estimates: DataFrame) -> DataFrame:
