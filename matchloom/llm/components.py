@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.session import store
+from matchloom.session import in_few_files, store
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -27,24 +27,25 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).filter("u != v")
 
 
-def _unsettled(edges: DataFrame) -> int:
-    """Nodes that are tied to several nodes, or tied to one while others are tied to them; none in stars."""
+def _unsettled(edges: DataFrame) -> tuple[int, int]:
+    """Nodes that are tied to several nodes, or tied to one while others are tied to them (none in stars), and the edges."""
     ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("tied")).union(edges.select("v", F.lit(None)))
     found = ends.groupBy("node").agg(F.count("tied").alias("tied"), F.count("*").alias("n"))
-    return found.agg(F.count_if((F.col("tied") > 1) | ((F.col("tied") == 1) & (F.col("n") > 1)))).first()[0]
+    return tuple(found.agg(F.count_if((F.col("tied") > 1) | ((F.col("tied") == 1) & (F.col("n") > 1))), F.coalesce(F.sum("tied"), F.lit(0))).first())
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of an edge list (u, v); the component is its least node.
 
-    Nothing but a number reaches the driver in a round. A node with very many edges is aggregated
+    Nothing but two numbers reach the driver in a round. A node with very many edges is aggregated
     before the shuffle, and its join partition is split by adaptive execution. The edges are stored
     after each round, which keeps the plan short and survives the loss of an executor. They lead from higher to
     lower nodes, so the rounds end when they form stars: a round that changes nothing isn't run to find out.
+    A round has no more edges than the one before it, whose number tells how many files will do.
     """
     now = store(edges.filter("u != v").select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")).distinct(), "edges")
-    while _unsettled(now):
-        now = store(_small_star(_large_star(now).distinct()).distinct(), "edges")
+    while (left := _unsettled(now))[0]:
+        now = store(in_few_files(_small_star(_large_star(now).distinct()).distinct(), left[1]), "edges")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 

@@ -9,8 +9,8 @@ order. With a = ceil(share * n), two alike sets share l of their first n - a + l
    shingles count without being shuffled, so no frequent shingle meets in one task.
 2. Each set left joins the least set of those buckets, by its first n - a + 1 shingles, that it shares most
    often. The sets of such a group are compared in a prefix tree, and what is alike gets one label.
-3. In buckets with several labels and groups the first n - a + 1 shingles of the sets are compared in a
-   prefix tree. Sets that may have a partner of another label and group, for which the bucket is that of the
+3. In buckets with several labels and groups, of sets whose sizes and places there leave a partner possible,
+   the first n - a + 1 shingles are compared in a prefix tree. Sets that may have a partner of another label and group, for which the bucket is that of the
    first shingle of both, go on whole, and are compared in a second tree. This finds what groups have parted.
 
 A prefix tree keeps sets with the same beginning on one path. It is walked once for all sets of its tile:
@@ -27,6 +27,7 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from matchloom.llm.common import ROWS_AT_ONCE, keyed_text, map_rows, to_arrow
 from matchloom.llm.components import components, stars
-from matchloom.session import store
+from matchloom.session import in_few_files, store
 
 WORDS = 3
 #: Least similarity, as a fraction.
@@ -47,6 +48,8 @@ EXTRA = 10
 SAMPLE, COMMON, MOST_COMMON = 2048, 4, 100_000
 #: Sets and shingles of a block; a tile is two blocks.
 BLOCK, ELEMENTS = 256, 2_000_000
+#: Classes of sizes between a set and the largest one alike to it.
+CLASSES = 4
 #: Set names that a task remembers, to pass on equal sets once.
 REMEMBERED = 100_000
 #: Most bits of the table that tells which texts are read again, and bits for each; a false hit costs work only.
@@ -107,9 +110,8 @@ def plain_text(docs: DataFrame) -> DataFrame:
     return keyed_text(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
 
 
-def common_shingles(docs: DataFrame, words: int) -> np.ndarray:
-    """Shingles of several sets of the sample, ascending; at most `MOST_COMMON`."""
-    rows = docs.count()
+def common_shingles(docs: DataFrame, words: int, rows: int) -> np.ndarray:
+    """Shingles of several sets of the sample, ascending; at most `MOST_COMMON`. The table has so many rows."""
     some = plain_text(docs).filter(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(max(1, rows // SAMPLE))) == 0)
 
     def make():
@@ -375,17 +377,18 @@ def tile_links(tiles: DataFrame, keys: list[str], sets: DataFrame, share: tuple[
 
 
 def prefix_rows(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(key, fp): each set under the shingles of its prefix."""
+    """(key, fp, at): each set under the shingles of its prefix, with their places there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(at, ROWS_AT_ONCE)
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
                 found = [np.frombuffer(x, "<i8")[: prefix_size(n, share)] for x, n in zip(part["path"].to_pylist(), part["n"].to_pylist(), strict=True)]
                 fp = np.repeat(part["fp"].to_numpy(), [len(x) for x in found])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.empty(0, "i8")])), pa.array(fp)], names=["key", "fp"])
+                at = np.concatenate([*(np.arange(len(x), dtype="i4") for x in found), np.empty(0, "i4")])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.empty(0, "i8")])), pa.array(fp), pa.array(at)], names=["key", "fp", "at"])
 
-    return sets.select("fp", "n", "path").mapInArrow(run, "key long, fp long")
+    return sets.select("fp", "n", "path").mapInArrow(run, "key long, fp long, at int")
 
 
 def prefixes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -421,7 +424,28 @@ def settled_groups(tiles: DataFrame) -> DataFrame:
     return tiles.groupBy("fp").agg(F.coalesce(own, F.max(name)).alias("grp"))
 
 
-def mixed_tiles(rows: DataFrame, sizes: DataFrame, label: DataFrame, settled: DataFrame) -> DataFrame:
+def of_several(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys whose rows have several labels and groups."""
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("label", "grp") for f in (F.min, F.max)]
+    return rows.groupBy(*keys).agg(*ends).filter("min_label != max_label AND min_grp != max_grp").select(*keys)
+
+
+def within_reach(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """The rows (key, fp, n, at, label, grp) whose size and place leave a partner possible in their bucket, without `at`.
+
+    Of two sets whose first common shingle lies at place `at` of the smaller, of size n, the larger has at most
+    (n - at) * (num + den) / num - n shingles. Each set takes the class of its size and those up to that bound, so that
+    such a pair meets in the class of the larger; without another label and group in any class, a set leaves the bucket.
+    """
+    num, den = share
+    width = max(math.log(den / num) / CLASSES, 1e-6)
+    size = lambda n: F.floor(F.log(n) / F.lit(width))
+    most = F.greatest(F.col("n"), F.expr(f"(n - at) * {num + den} div {num} - n"))
+    spread = rows.select("key", "fp", "n", "label", "grp", F.explode(F.sequence(size(F.col("n")), size(most))).alias("class"))
+    return spread.join(of_several(spread, ["key", "class"]), ["key", "class"], "left_semi").drop("class").distinct()
+
+
+def mixed_tiles(rows: DataFrame, sizes: DataFrame, label: DataFrame, settled: DataFrame, share: tuple[int, int]) -> DataFrame:
     """(key, low, high, fp, label, grp) of the buckets with several labels and groups, in tiles.
 
     The sets of a bucket's largest label or group meet the others only.
@@ -429,9 +453,8 @@ def mixed_tiles(rows: DataFrame, sizes: DataFrame, label: DataFrame, settled: Da
     about = sizes.join(label.select(F.col("node").alias("fp"), "component"), "fp", "left").join(settled, "fp", "left")
     about = about.select("fp", "n", F.coalesce("component", "fp").alias("label"), F.coalesce("grp", F.xxhash64("fp")).alias("grp"))
     named = rows.join(about, "fp")
-    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("label", "grp") for f in (F.min, F.max)]
-    mixed = named.groupBy("key").agg(*ends).filter("min_label != max_label AND min_grp != max_grp").select("key")
-    left = store(named.join(mixed, "key", "left_semi").select("key", "fp", "n", "label", "grp"), "mixed")
+    mixed = store(in_few_files(named.join(of_several(named, ["key"]), "key", "left_semi").select("key", "fp", "n", "at", "label", "grp"), rows.count()), "mixed")
+    left = store(in_few_files(within_reach(mixed, share), mixed.count()), "within-reach")
     both = left.select("key", "n", F.posexplode(F.array("label", "grp")).alias("kind", "value"))
     sums = both.groupBy("key", "kind", "value").agg(F.count("*").alias("c"), F.sum("n").alias("e"))
     most = sums.groupBy("key").agg(F.max(F.struct("c", "kind", "value", "e")).alias("m"), F.sum(F.when(F.col("kind") == 0, F.col("c"))).alias("c"), F.sum(F.when(F.col("kind") == 0, F.col("e"))).alias("e"))
@@ -463,24 +486,24 @@ def with_partner(tiles: DataFrame, short: DataFrame, share: tuple[int, int]) ->
 
 
 def found_links(
-    sets: DataFrame, share: tuple[int, int], first_links: Callable[[DataFrame], DataFrame] | None = None
+    sets: DataFrame, share: tuple[int, int], first_links: Callable[[DataFrame], DataFrame] | None = None, most: int | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(links, label, more): links of first_links and groups, the components they make, and links beyond these.
 
     What is connected goes on as stars around the least sets, so each search for components takes few rounds
-    beyond those that its new links need.
+    beyond those that its new links need. There are at most `most` sets.
     """
     rows = store(prefix_rows(sets, share), "prefixes")
     sizes = sets.select("fp", "n")
-    groups = store(group_tiles(rows, sizes), "groups")
+    groups = store(in_few_files(group_tiles(rows, sizes), most), "groups")
     alone = groups.withColumn("label", F.col("fp")).withColumn("grp", F.col("fp"))
     if first_links:
         known = store(first_links(sets), "first-links")
-        before = store(components(known), "first-labels")
+        before = store(in_few_files(components(known), most), "first-labels")
         alone = groups.join(before.withColumnRenamed("node", "fp"), "fp", "left").withColumns({"label": F.coalesce("component", "fp"), "grp": F.col("fp")})
     near = store(tile_links(alone, ["leader", "part"], sets, share), "group-links")
-    label = store(components(near.unionByName(stars(before)) if first_links else near), "labels")
-    mixed = mixed_tiles(rows, sizes, label, settled_groups(groups))
+    label = store(in_few_files(components(near.unionByName(stars(before)) if first_links else near), most), "labels")
+    mixed = mixed_tiles(rows, sizes, label, settled_groups(groups), share)
     tiles = store(with_partner(mixed, prefixes(sets, share), share), "tiles")
     return near.unionByName(known) if first_links else near, label, tile_links(tiles, ["key", "low", "high"], sets, share)
 
@@ -503,12 +526,13 @@ def join_documents(
     The component is the smallest key reachable by links between documents whose sets have
     |a and b| / |a or b| >= share; `first_links` as in `alike_links`.
     """
-    common = common_shingles(docs, words)
+    count = docs.count()
+    common = common_shingles(docs, words, count)
     named = store(summaries(docs, words, share, common), "summaries")
-    sets = store(named.groupBy("fp").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sure").alias("sure")), "sets")
-    wanted = store(may_be_alike(sets, shared_counts(named), share), "wanted")
+    sets = store(in_few_files(named.groupBy("fp").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sure").alias("sure")), count), "sets")
+    wanted = store(in_few_files(may_be_alike(sets, shared_counts(named), share), count), "wanted")
     whole = store(whole_sets(docs, wanted, words, common), "paths")
-    _, label, more = found_links(whole, share, first_links)
+    _, label, more = found_links(whole, share, first_links, count)
     linked = components(store(stars(label).unionByName(more), "links"))
     member = sets.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -72,3 +72,28 @@ def test_table_of_wanted_texts_follows_their_number(spark):
         found = ngram_join.whole_sets(docs, wanted, 3, none)
         assert sorted(r["fp"] for r in found.collect()) == sorted(r["fp"] for r in wanted.collect())
         assert all(len(r["path"]) == 8 * r["n"] for r in found.collect())
+
+
+def test_small_frames_are_stored_in_few_files(spark, monkeypatch):
+    """Adaptive execution that merges no partitions leaves a file of each, with processes to set its permissions."""
+    files = {}
+
+    def counted(df, purpose):
+        out = store(df, purpose)
+        files.setdefault(purpose, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(components, "store", counted)
+    monkeypatch.setattr(ngram_join, "store", counted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        chain = spark.range(1, 300).select(F.col("id").alias("u"), (F.col("id") - 1).alias("v"))
+        assert {(r.node, r.component) for r in components.components(chain).collect()} == {(i, 0) for i in range(300)}
+        assert len(files["edges"]) > 2 and max(files["edges"][1:]) <= 8
+        rows = [(i, " ".join(f"w{i % 60}_{j}" for j in range(30)) + f" own{i}") for i in range(300)]
+        assert ngram_join.join_documents(spark.createDataFrame(rows, "doc_id long, text string")).count() == 300
+        assert all(max(files[x]) <= 8 for x in ("sets", "wanted", "groups", "labels", "mixed", "within-reach"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

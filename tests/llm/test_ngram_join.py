@@ -139,3 +139,17 @@ def test_trees_give_each_pair_once():
             found = ngram_join.tree_pairs([short[i] for i in here], n[here], label[here], group[here], share, key)
             maybe += [frozenset((here[i], here[int(j)])) for i, others in found for j in others]
         assert len(maybe) == len(set(maybe)) and expected <= set(maybe)
+
+
+def test_sets_without_a_partner_in_reach_leave_their_bucket(spark):
+    rng = random.Random(3)
+    for num, den in ((9, 10), (4, 5), (1, 1)):
+        rows = []
+        for fp in range(400):
+            n = rng.randint(1, 60)
+            rows.append((rng.randrange(60), fp, n, rng.randrange(n - -(-n * num // den) + 1), rng.randrange(5), rng.randrange(7)))
+        frame = spark.createDataFrame(rows, "key long, fp long, n long, at int, label long, grp long")
+        found = [tuple(r) for r in ngram_join.within_reach(frame, (num, den)).select("key", "fp", "n", "label", "grp").collect()]
+        may = lambda x, y: x[0] == y[0] and x[4] != y[4] and x[5] != y[5] and min(x[2] - x[3], y[2] - y[3]) * (num + den) >= (x[2] + y[2]) * num
+        needed = {x[:3] + x[4:] for x in rows for y in rows if may(x, y)}
+        assert needed and needed <= set(found) and len(found) == len(set(found)) < len(rows)
