@@ -9,8 +9,8 @@ order. With a = ceil(share * n), two alike sets share l of their first n - a + l
    shingles count without being shuffled, so no frequent shingle meets in one task.
 2. Each set left joins the least set of those buckets, by its first n - a + 1 shingles, that it shares most
    often. The sets of such a group are compared in a prefix tree, and what is alike gets one label.
-3. In buckets with several labels and groups, of sets whose sizes and places there leave a partner possible,
-   the first n - a + 1 shingles are compared in a prefix tree. Sets that may have a partner of another label and group, for which the bucket is that of the
+3. In buckets with several labels and groups, of sets that are in as many of these as step 1 asks for and whose
+   sizes and places there leave a partner possible, the first n - a + 1 shingles are compared in a prefix tree. Sets that may have a partner of another label and group, for which the bucket is that of the
    first shingle of both, go on whole, and are compared in a second tree. This finds what groups have parted.
 
 A prefix tree keeps sets with the same beginning on one path. It is walked once for all sets of its tile:
@@ -186,12 +186,16 @@ def shared_counts(rows: DataFrame) -> DataFrame:
     return found.groupBy("fp").agg(F.sum("shared").alias("shared"))
 
 
+def least_shared_early(share: tuple[int, int]) -> Column:
+    """Shingles of its longer prefix that a set of n shares at least with the longer prefix of any set alike to it."""
+    a = F.expr(f"(n * {share[0]} + {share[1] - 1}) div {share[1]}")
+    return F.greatest(F.lit(1), F.floor(a / EXTRA))
+
+
 def may_be_alike(sets: DataFrame, counts: DataFrame, share: tuple[int, int]) -> DataFrame:
     """The sets (fp, n, least) that share enough of their longer prefix to be alike to another."""
-    a = F.expr(f"(n * {share[0]} + {share[1] - 1}) div {share[1]}")
-    need = F.greatest(F.lit(1), F.floor(a / EXTRA))
     joined = sets.filter("n > 0").join(counts, "fp", "left")
-    return joined.filter(F.coalesce("shared", F.lit(0)) + F.col("sure") >= need).select("fp", "n", "least")
+    return joined.filter(F.coalesce("shared", F.lit(0)) + F.col("sure") >= least_shared_early(share)).select("fp", "n", "least")
 
 
 def slots_for(keys: int) -> int:
@@ -377,18 +381,27 @@ def tile_links(tiles: DataFrame, keys: list[str], sets: DataFrame, share: tuple[
 
 
 def prefix_rows(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(key, fp, at): each set under the shingles of its prefix, with their places there."""
+    """(key, fp, at, sure): each set under the shingles of its prefix, with their places there, and under the rare ones
+    of its longer prefix beyond, without a place; `sure` is the number of common ones of its longer prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(start, ROWS_AT_ONCE)
-                found = [np.frombuffer(x, "<i8")[: prefix_size(n, share)] for x, n in zip(part["path"].to_pylist(), part["n"].to_pylist(), strict=True)]
-                fp = np.repeat(part["fp"].to_numpy(), [len(x) for x in found])
-                at = np.concatenate([*(np.arange(len(x), dtype="i4") for x in found), np.empty(0, "i4")])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.empty(0, "i8")])), pa.array(fp), pa.array(at)], names=["key", "fp", "at"])
-
-    return sets.select("fp", "n", "path").mapInArrow(run, "key long, fp long, at int")
+                found, at, sure = [np.empty(0, "i8")], [np.empty(0, "i4")], []
+                for path, n in zip(part["path"].to_pylist(), part["n"].to_pylist(), strict=True):
+                    longer = np.frombuffer(path, "<i8")[: n - least_shared(n, share) + extra(n)]
+                    short, beyond = np.split(longer, [prefix_size(n, share)])
+                    rare = beyond[beyond >= 0]  # common shingles carry the highest bit
+                    found += [short, rare]
+                    at += [np.arange(len(short), dtype="i4"), np.full(len(rare), -1, "i4")]
+                    sure.append((len(short) + len(rare), np.count_nonzero(longer < 0)))
+                times, common = np.array(sure, "i4").reshape(-1, 2).T
+                place = np.concatenate(at)
+                columns = [np.concatenate(found), np.repeat(part["fp"].to_numpy(), times), pa.array(place, mask=place < 0), np.repeat(common, times)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "fp", "at", "sure"])
+
+    return sets.select("fp", "n", "path").mapInArrow(run, "key long, fp long, at int, sure int")
 
 
 def prefixes(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -408,6 +421,7 @@ def dealt(count: Column) -> Column:
 
 def group_tiles(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """(leader, part, fp): each set with the least set of the buckets that it shares most often."""
+    rows = rows.filter("at IS NOT NULL")
     least = rows.groupBy("key").agg(F.min("fp").alias("leader"), F.max("fp").alias("high")).filter("leader != high")
     often = rows.join(least, "key").filter("fp != leader").groupBy("fp", "leader").count()
     chosen = often.groupBy("fp").agg(F.max_by("leader", F.struct("count", "leader")).alias("leader")).join(sizes, "fp")
@@ -430,6 +444,17 @@ def of_several(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(*ends).filter("min_label != max_label AND min_grp != max_grp").select(*keys)
 
 
+def in_enough(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """The rows (key, fp, n, at, sure, label, grp) of sets that are in enough of these buckets to be alike to another there, without `sure`.
+
+    What two alike sets of different labels and groups share makes buckets with several of both. So a set that meets
+    unlike ones here and there, as more do in larger tables, leaves before anything is made of its rows. Common shingles
+    count in any case: beyond the prefix they have no rows.
+    """
+    enough = rows.groupBy("fp", "n").agg((F.count_if(F.col("key") >= 0) + F.max("sure")).alias("shared")).filter(F.col("shared") >= least_shared_early(share))
+    return rows.filter("at IS NOT NULL").drop("sure").join(enough.select("fp"), "fp", "left_semi")
+
+
 def within_reach(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
     """The rows (key, fp, n, at, label, grp) whose size and place leave a partner possible in their bucket, without `at`.
 
@@ -441,8 +466,11 @@ def within_reach(rows: DataFrame, share: tuple[int, int]) -> DataFrame:
     width = max(math.log(den / num) / CLASSES, 1e-6)
     size = lambda n: F.floor(F.log(n) / F.lit(width))
     most = F.greatest(F.col("n"), F.expr(f"(n - at) * {num + den} div {num} - n"))
-    spread = rows.select("key", "fp", "n", "label", "grp", F.explode(F.sequence(size(F.col("n")), size(most))).alias("class"))
-    return spread.join(of_several(spread, ["key", "class"]), ["key", "class"], "left_semi").drop("class").distinct()
+    low, high = size(F.col("n")), size(most)
+    spread = rows.select("key", "label", "grp", F.explode(F.sequence(low, high)).alias("class"))
+    # A bucket has few classes, whatever its sets: their number grows with the logarithm of the largest size.
+    met = of_several(spread, ["key", "class"]).groupBy("key").agg(F.collect_set("class").alias("classes"))
+    return rows.join(met, "key").filter(F.exists("classes", lambda c: c.between(low, high))).select("key", "fp", "n", "label", "grp")
 
 
 def mixed_tiles(rows: DataFrame, sizes: DataFrame, label: DataFrame, settled: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -453,8 +481,8 @@ def mixed_tiles(rows: DataFrame, sizes: DataFrame, label: DataFrame, settled: Da
     about = sizes.join(label.select(F.col("node").alias("fp"), "component"), "fp", "left").join(settled, "fp", "left")
     about = about.select("fp", "n", F.coalesce("component", "fp").alias("label"), F.coalesce("grp", F.xxhash64("fp")).alias("grp"))
     named = rows.join(about, "fp")
-    mixed = store(in_few_files(named.join(of_several(named, ["key"]), "key", "left_semi").select("key", "fp", "n", "at", "label", "grp"), rows.count()), "mixed")
-    left = store(in_few_files(within_reach(mixed, share), mixed.count()), "within-reach")
+    mixed = store(in_few_files(named.join(of_several(named, ["key"]), "key", "left_semi").select("key", "fp", "n", "at", "sure", "label", "grp"), rows.count()), "mixed")
+    left = store(in_few_files(within_reach(in_enough(mixed, share), share), mixed.count()), "within-reach")
     both = left.select("key", "n", F.posexplode(F.array("label", "grp")).alias("kind", "value"))
     sums = both.groupBy("key", "kind", "value").agg(F.count("*").alias("c"), F.sum("n").alias("e"))
     most = sums.groupBy("key").agg(F.max(F.struct("c", "kind", "value", "e")).alias("m"), F.sum(F.when(F.col("kind") == 0, F.col("c"))).alias("c"), F.sum(F.when(F.col("kind") == 0, F.col("e"))).alias("e"))

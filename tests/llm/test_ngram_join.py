@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from matchloom.llm import near_copies, ngram_join
+from matchloom.llm import components, near_copies, ngram_join
 
 DOCS = "doc_id long, text string, fp long, n long, label long, path string, key long, component string"
 
@@ -153,3 +153,67 @@ def test_sets_without_a_partner_in_reach_leave_their_bucket(spark):
         may = lambda x, y: x[0] == y[0] and x[4] != y[4] and x[5] != y[5] and min(x[2] - x[3], y[2] - y[3]) * (num + den) >= (x[2] + y[2]) * num
         needed = {x[:3] + x[4:] for x in rows for y in rows if may(x, y)}
         assert needed and needed <= set(found) and len(found) == len(set(found)) < len(rows)
+
+
+def test_classes_of_a_bucket_are_spread_once(spark):
+    """The rows were spread over their classes twice: to find the classes with a partner, and to take the rows there."""
+    frame = spark.range(0, 200).selectExpr("id % 20 key", "id fp", "10 + id % 7 n", "0 at", "id label", "id grp")
+    found = ngram_join.within_reach(frame, (4, 5))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 1
+    assert found.count() == found.distinct().count() == 200
+
+
+def test_sets_that_share_little_with_each_of_many_leave_before_they_are_spread(spark, monkeypatch):
+    """Each meets others by single shingles, more of them in larger tables; only near copies parted by their groups go on."""
+    rng = random.Random(5)
+    seen = []
+    reach = ngram_join.within_reach
+
+    def counted(rows, share):
+        seen.append({r["fp"] for r in rows.collect()})
+        return reach(rows, share)
+
+    monkeypatch.setattr(ngram_join, "within_reach", counted)
+    share = (4, 5)
+    sets = {}
+    for fp in range(200):  # 1 to 100 are rare and met by a few sets each, what follows is a set's own
+        sets[fp] = sorted([fp % 100 + 1, *rng.sample(range(10**6 * (fp + 1), 10**6 * (fp + 1) + 10**5), 99)])
+    base = sorted(rng.sample(range(10**12, 2 * 10**12), 100))
+    many = {900: base, 901: sorted([*base[:95], *range(1000, 1005)]), 902: sorted([*base[:94], *range(1002, 1008)])}
+    for near in (many, {}):
+        rows = [(fp, len(x), np.array(x, "<u8").tobytes()) for fp, x in (sets | near).items()]
+        given = spark.createDataFrame(rows, "fp long, n long, path binary")
+        whole = ngram_join.prefix_rows(given, share).collect()
+        assert all(sum(r["fp"] == fp for r in whole) == 30 for fp in near) and all((r["at"] is None) or r["at"] <= 20 for r in whole)
+        # As if no group had compared anything: every set its own label and group.
+        about = ngram_join.prefix_rows(given, share).join(given.select("fp", "n"), "fp").selectExpr("key", "fp", "n", "at", "sure", "fp label", "fp grp")
+        mixed = about.join(ngram_join.of_several(about, ["key"]), "key", "left_semi")
+        assert {r["fp"] for r in mixed.collect()} >= set(sets)
+        assert {r["fp"] for r in ngram_join.in_enough(mixed, share).collect()} == set(near)
+        links = ngram_join.alike_links(given, share)
+        linked = components.components(links).collect()
+        assert {(r.node, r.component) for r in linked} == {(fp, 900) for fp in near}
+        assert not seen.pop() & set(sets)
+
+
+def test_sets_in_enough_buckets_include_all_alike_ones(spark):
+    """Against all pairs, with shingles that are common, and so have no rows beyond the prefix."""
+    rng = random.Random(9)
+    high = int(ngram_join.LAST)
+    for share in ((4, 5), (9, 10)):
+        num, den = share
+        sets = []
+        for _ in range(30):
+            n = rng.randint(1, 90)
+            base = rng.sample(range(1, 10**6), n) + rng.sample(range(high, high + 300), rng.randint(0, n))
+            for _ in range(rng.randint(1, 4)):
+                some = set(rng.sample(base, max(1, round(len(base) * rng.uniform(0.85, 1)))))
+                sets.append(sorted(some | set(rng.sample(range(1, 2000), rng.randint(0, 3))) | set(rng.sample(range(high, high + 300), rng.randint(0, 3)))))
+        rows = [(fp, len(x), np.array(x, "<u8").tobytes()) for fp, x in enumerate(sets)]
+        given = spark.createDataFrame(rows, "fp long, n long, path binary")
+        about = ngram_join.prefix_rows(given, share).join(given.select("fp", "n"), "fp").selectExpr("key", "fp", "n", "at", "sure", "fp % 5 label", "fp % 3 grp")
+        mixed = about.join(ngram_join.of_several(about, ["key"]), "key", "left_semi")
+        found = {r["fp"] for r in ngram_join.in_enough(mixed, share).collect()}
+        alike = lambda x, y: len(set(x) & set(y)) * den >= len(set(x) | set(y)) * num
+        needed = {i for i, x in enumerate(sets) for j, y in enumerate(sets) if i % 5 != j % 5 and i % 3 != j % 3 and alike(x, y)}
+        assert needed and needed <= found
