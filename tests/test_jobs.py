@@ -95,6 +95,17 @@ def test_partitions_change_nothing(spark, raw, fixtures):
     assert frame_difference(one, many).count() == 0
 
 
+def test_records_of_usual_links_are_shuffled_once(spark, raw, fixtures):
+    """Raw rows go to their link as one row each run, and their records stay there; all else is small."""
+    plan = J.match_records(raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("Exchange hashpartitioning(match_url#") >= 1
+    whole = plan[: plan.index("MapInArrow")]
+    assert whole.count("Exchange") == 1 and "record" not in whole[whole.index("Exchange") :]
+    parts = [raw.filter("home is not null").coalesce(1), raw.repartition(8, "row_no")]
+    records = [J.match_records(p) for p in parts]
+    assert frame_difference(*records).count() == 0 and records[0].count() == 4
+
+
 @pytest.fixture
 def players(spark):
     data = [("1", "Ann", "MF,FW", "Girona"), ("2", "Bob", "GK", "Nowhere"), (None, None, None, None)]

@@ -244,3 +244,28 @@ def test_snapshots(spark, rows):
     assert rows(V.latest_snapshot(df, ["k"], ["at"], as_of, dt.timedelta(days=7)), "is_fresh") == [(True,), (True,)]
     with pytest.raises(TypeError, match="'max_age' must be of type int or datetime.timedelta"):
         V.latest_snapshot(df, ["k"], ["at"], as_of, START)
+
+
+def test_gathered_rows_are_the_same_and_dealt_by_key(spark, rows):
+    data = [(k, i, None if i % 3 else f"v{i}", (k, i // 4) if i % 5 else None) for k in ("a", None, "b", "a") for i in range(10)]
+    df = spark.createDataFrame(data, "k string, i int, v string, s struct<x: string, y: int>").coalesce(1)
+    for keys in (["k"], ["k", "s"], ["v"], ["i", "s"]):
+        found = W.gather(df, keys)
+        assert found.columns == df.columns and rows(found.select("k", "i", "v", "s.*")) == rows(df.select("k", "i", "v", "s.*"))
+        placed = found.withColumn("place", F.spark_partition_id())
+        places = placed.groupBy(*keys).agg(F.count_distinct("place").alias("n"))
+        assert [r.n for r in places.select("n").distinct().collect()] == [1]
+    plan = W.gather(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange hashpartitioning(k") < plan.index("MapInArrow")
+
+
+@pytest.mark.parametrize("limit", [3, 30, 1000])
+def test_whole_and_large_keys_apart(spark, rows, limit):
+    data = [(k, i, i % 4) for k, n in (("a", 40), ("b", 9), ("c", 1), (None, 5)) for i in range(n)]
+    df = spark.createDataFrame(data, "k string, i int, v int").repartition(3)
+    line = W.Series(["k"], ["i"], [W.number_bucket("i", 5)], limit)
+    whole, large = line.parted(df)
+    assert {r.k for r in large.collect()} == {k for k, n in (("a", 40), ("b", 9), ("c", 1)) if n > limit}
+    what = ({"next": F.col("v")}, {"total": F.col("v").cast("bigint")})
+    apart = W.scan_whole(whole, line, *what).union(W.scan(large, line, *what))
+    assert rows(apart) == rows(W.scan(df, line, *what)) and apart.count() == 50
